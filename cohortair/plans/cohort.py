@@ -47,12 +47,14 @@ def person_fact(
     death: DataFrame,
     fraction: float = 1.0,
 ) -> DataFrame:
-    """One row per cohort person: place, facts, first stay and death."""
-    located = people.attach_locations(
-        people.sample_cohort(patients, fraction), person, location, manifest
-    )
-    with_stay = visits.first_covid_stay(clean_people(located), visit)
-    return people.last_death(with_stay, death)
+    """One row per cohort person: place, facts, first stay and death.
+
+    Stay and death are found for the narrow cohort, before the wide columns
+    are joined: all joins by person then share one shuffle of the cohort.
+    """
+    sampled = people.sample_cohort(patients, fraction)
+    followed = people.last_death(visits.first_covid_stay(sampled, visit), death)
+    return clean_people(people.attach_locations(followed, person, location, manifest))
 
 
 def person_fact_older(
@@ -71,23 +73,27 @@ def person_fact_older(
     fraction: float = 1.0,
 ) -> DataFrame:
     """The older person table: condition flags, first stay and emergency visit."""
-    located = people.attach_locations(
-        people.sample_cohort(patients, fraction), person, location, manifest, drop_without_index=True
-    )
-    cleaned = clean_people(located, older=True)
+    sampled = people.sample_cohort(patients, fraction)
     flags = conditions.condition_flags_by_date(
-        cleaned, condition, conditions.condition_codes(rules, members), names
+        sampled, condition, conditions.condition_codes(rules, members), names
     )
-    flagged = conditions.condition_flags_by_person(flags, cleaned, names)
+    stays = visits.associated_stays(visit, sampled, mode=mode)
     er = None
     if include_er:
         er = visits.associated_er_visits(
-            visit, flagged, visits.er_codes(rules, members), mode=mode
+            visit, sampled, visits.er_codes(rules, members), mode=mode
         )
-    merged = visits.merge_first_visits(
-        flagged, visits.associated_stays(visit, flagged, mode=mode), er
+    followed = people.last_death(
+        visits.merge_first_visits(
+            conditions.condition_flags_by_person(flags, sampled, names), stays, er
+        ),
+        death,
+        latest_only=False,
+    )
+    located = people.attach_locations(
+        followed, person, location, manifest, drop_without_index=True
     )
-    return people.last_death(merged, death, latest_only=False)
+    return clean_people(located, older=True)
 
 
 def person_area(

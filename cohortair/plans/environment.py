@@ -14,8 +14,7 @@ def climate_by_lag(people: DataFrame, years: Sequence[DataFrame], n: int = 45) -
     """Climate of each person's ZIP on each day around the index date."""
     daily = climate.stack_years(*years)
     lags = climate.expand_lags(climate.people_with_climate(people, daily), n)
-    wanted = climate.climate_for_zips(daily, climate.shared_zips(people, daily))
-    return climate.attach_climate(lags, wanted)
+    return climate.attach_climate(lags, daily)
 
 
 def pollutant_series(
