@@ -306,7 +306,7 @@ def stay_detail(s):
 
 @query
 def person_stays(s):
-    return checks.person_stays(s.visits(), 77)
+    return checks.person_stays(s.visits(), 7)
 
 
 @query
@@ -458,7 +458,7 @@ def cohort_zips(s):
 
 @query
 def cohort_zips_person(s):
-    return area.cohort_zips(s.people_zips(), person_id=77, distinct=False)
+    return area.cohort_zips(s.people_zips(), person_id=7, distinct=False)
 
 
 def _zip_zcta(s) -> DataFrame:

@@ -643,7 +643,7 @@ ORACLES = {
     WHERE macrovisit_id IS NOT NULL AND visit_concept_name = 'R' GROUP BY macrovisit_id""",
     "stay_detail": f"SELECT {VISIT_COLUMNS} FROM s_visits WHERE macrovisit_id = 7",
     "person_stays": f"""
-    SELECT {VISIT_COLUMNS} FROM s_visits WHERE macrovisit_id IS NOT NULL AND person_id = 77""",
+    SELECT {VISIT_COLUMNS} FROM s_visits WHERE macrovisit_id IS NOT NULL AND person_id = 7""",
     "person_fact": f"""
     SELECT l.*, s.* EXCLUDE (person_id, first_pos_pcr_antigen_date), d.death_date,
            CASE WHEN d.death_date IS NULL THEN 0 ELSE 1 END AS death_recorded, date_of_birth,
@@ -732,7 +732,7 @@ ORACLES = {
     "crosswalk": "SELECT * FROM s_zip_zcta",
     "crosswalk_whole_rows": "SELECT * FROM s_update UNION ALL SELECT * FROM s_crosswalk",
     "cohort_zips": "SELECT DISTINCT zip_code FROM s_people",
-    "cohort_zips_person": "SELECT zip_code FROM s_people WHERE person_id = 77",
+    "cohort_zips_person": "SELECT zip_code FROM s_people WHERE person_id = 7",
     "zips_to_zcta": """
     SELECT p.zip_code, x.ZCTA AS zcta FROM (SELECT DISTINCT zip_code FROM s_people) p
     LEFT JOIN s_zip_zcta x ON x.ZIP_CODE = p.zip_code""",

@@ -38,9 +38,12 @@ class Study:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.folder, name)
+        return self._read[name]
 
     def members(self) -> DataFrame:
         return self.table("part").select(
