@@ -12,6 +12,9 @@ def days_around(df: DataFrame, date: str, before: int, after: int, day: str) ->
     Makes a range condition on dates an equality: rows meet their match by
     (person, day), so a person with very many rows is spread over days instead
     of meeting in one task. Rows without a date have no days.
+
+    Spark's size estimate does not know that rows multiply here, so a later
+    join is told to sort: the days are never broadcast by mistake.
     """
     span = F.sequence(F.date_sub(F.col(date), before), F.date_add(F.col(date), after))
-    return df.withColumn(day, F.explode(span))
+    return df.withColumn(day, F.explode(span)).hint("merge")

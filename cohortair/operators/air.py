@@ -133,11 +133,15 @@ def zip_readings(daily: DataFrame, nearby: DataFrame, dedupe: bool = True) -> Da
 
     Repeats are dropped on either side: with all columns kept, that leaves the
     same rows as dropping them from the much larger result.
+
+    Monitor days lie by site already, so the ZIPs of a site, which are few,
+    are brought to them and looked up there. Without the hint Spark may judge
+    the filled calendar by its size before filling and broadcast it.
     """
     located = nearby.where(F.col("zip_code").isNotNull())
     if dedupe:
         daily, located = daily.distinct(), located.distinct()
-    return daily.join(located, SITE)
+    return daily.join(located.hint("shuffle_hash"), SITE)
 
 
 def zip_daily(readings: DataFrame, kind: Pollutant) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortair.operators.joins import attach
 from cohortair.settings import LAB_INDEX
 
 MEASURES = ("MeanTemp", "Precip", "DewPoint")
@@ -66,7 +67,7 @@ def attach_climate(lags: DataFrame, climate: DataFrame) -> DataFrame:
         F.col("Date").alias("climate_measure_date"),
         *MEASURES,
     )
-    return lags.join(measured, ["zip_code", "lag_dates"], "left").select(
+    return attach(lags, measured, ["zip_code", "lag_dates"]).select(
         "person_id",
         "zip_code",
         LAB_INDEX,

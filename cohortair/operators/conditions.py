@@ -22,7 +22,7 @@ def condition_codes(rules: DataFrame, members: DataFrame) -> DataFrame:
     ).select("concept_set_name", "column_name")
     return (
         newest_members(members)
-        .join(broadcast_if_small(wanted), "concept_set_name")
+        .join(wanted, "concept_set_name")
         .select("concept_id", "column_name")
     )
 
@@ -34,6 +34,12 @@ def _coded(conditions: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
+def _of_people(grouped: DataFrame, people: DataFrame) -> DataFrame:
+    # An inner join: Catalyst moves a semi join below the grouping, where it
+    # would shuffle every record instead of the grouped rows.
+    return grouped.join(people.select("person_id").distinct(), "person_id")
+
+
 def first_conditions_wide(
     people: DataFrame, conditions: DataFrame, codes: DataFrame, names: Sequence[str]
 ) -> DataFrame:
@@ -62,16 +68,14 @@ def first_conditions_wide(
     for name in names:
         pairs.append(F.col(name)["condition_start_date"].alias(f"{name}_start"))
         pairs.append(F.col(name)["condition_occurrence_id"].alias(f"{name}_c_occ_id"))
-    return firsts.join(people.select("person_id"), "person_id", "left_semi").select(
-        "person_id", *pairs
-    )
+    return _of_people(firsts, people).select("person_id", *pairs)
 
 
 def condition_flags_by_date(
     people: DataFrame, conditions: DataFrame, codes: DataFrame, names: Sequence[str]
 ) -> DataFrame:
     """Per person and date of a coded condition, a 0/1 flag for each of `names`."""
-    return (
+    flags = (
         _coded(conditions, codes)
         .groupBy("person_id", F.col("condition_start_date").alias("comorbidity_start_date"))
         .agg(
@@ -80,8 +84,8 @@ def condition_flags_by_date(
                 for name in names
             ]
         )
-        .join(people.select("person_id"), "person_id", "left_semi")
     )
+    return _of_people(flags, people)
 
 
 def condition_flags_by_person(

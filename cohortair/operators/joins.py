@@ -46,8 +46,11 @@ def attach(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFr
     spread = F.when(
         missing, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(NULL_SPREAD))
     ).otherwise(F.lit(0).cast("long"))
+    # Always 0, but worked out from the keys: a literal would be folded into
+    # a filter and would no longer be a key that rows are shuffled by.
+    zero = F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(1))
     return (
         left.withColumn("_spread", spread)
-        .join(right.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], "left")
+        .join(right.withColumn("_spread", zero), [*keys, "_spread"], "left")
         .drop("_spread")
     )

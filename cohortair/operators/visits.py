@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortair.functions.days import days_around
 from cohortair.operators.conditions import newest_members
@@ -21,9 +22,9 @@ STAY = ["macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"]
 def er_codes(rules: DataFrame, members: DataFrame) -> DataFrame:
     """Visit codes of the rule sheet's emergency-room sets."""
     wanted = rules.where("er_only_visit = 1").select("concept_set_name")
-    return newest_members(members).join(
-        broadcast_if_small(wanted), "concept_set_name", "left_semi"
-    ).select("concept_id")
+    return (
+        newest_members(members).join(wanted, "concept_set_name", "left_semi").select("concept_id")
+    )
 
 
 def _window_index(people: DataFrame, mode: str, before: int, after: int) -> DataFrame:
@@ -62,7 +63,7 @@ def associated_er_visits(
         _window_index(people, mode, before, after), "index_date", before, after, "visit_start_date"
     )
     return (
-        er_days.join(near, ["person_id", "visit_start_date"], "left_semi")
+        er_days.join(near, ["person_id", "visit_start_date"])
         .groupBy("person_id")
         .agg(F.min("visit_start_date").alias("first_covid_er_only_start_date"))
     )
@@ -86,7 +87,7 @@ def associated_stays(
     )
     first = F.min(F.struct("macrovisit_start_date", "macrovisit_id", "macrovisit_end_date"))
     return (
-        stays.join(near, ["person_id", "macrovisit_start_date"], "left_semi")
+        stays.join(near, ["person_id", "macrovisit_start_date"])
         .groupBy("person_id")
         .agg(first.alias("s"))
         .select(
@@ -215,18 +216,20 @@ def flag_stays(
         .groupBy("person_id", "macrovisit_start_date")
         .agg(F.min("poslab_date").alias("poslab_date"))
     )
-    first_date = (
-        stays.join(in_reach, ["person_id", "macrovisit_start_date"])
-        .where("poslab_date <= macrovisit_end_date")
-        .groupBy("macrovisit_id")
-        .agg(F.min("poslab_date").alias("poslab_date"))
-    )
-    return stays.join(first_date, "macrovisit_id", "left").select(
-        "person_id",
-        "macrovisit_id",
-        F.col("poslab_date").isNotNull().cast("int").alias("covid_associated_hosp"),
-        "poslab_date",
-        "macrovisit_start_date",
-        "macrovisit_end_date",
-        "data_partner_id",
+    # All rows of a stay share its earliest date. Distinct stays are few per
+    # id, and a window reads them once where a join back would read them twice.
+    of_stay = Window.partitionBy("macrovisit_id")
+    near = F.when(F.col("poslab_date") <= F.col("macrovisit_end_date"), F.col("poslab_date"))
+    return (
+        stays.join(in_reach, ["person_id", "macrovisit_start_date"], "left")
+        .withColumn("poslab_date", F.min(near).over(of_stay))
+        .select(
+            "person_id",
+            "macrovisit_id",
+            F.col("poslab_date").isNotNull().cast("int").alias("covid_associated_hosp"),
+            "poslab_date",
+            "macrovisit_start_date",
+            "macrovisit_end_date",
+            "data_partner_id",
+        )
     )

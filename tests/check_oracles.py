@@ -32,20 +32,24 @@ def rows_of(table):
     return names, Counter(zip(*columns))
 
 
-def compare(spark, con, folder, name, text):
-    start = time.time()
-    ours = entry_points.queries()[name](spark, folder).toArrow()
-    seconds = time.time() - start
-    theirs = con.execute(text).to_arrow_table()
+def compare(df, con, text):
+    """Whether rows are equal, our table, and what differs."""
+    ours = df.toArrow()
+    theirs = con.sql(text).to_arrow_table()
     our_names, our_rows = rows_of(ours)
     their_names, their_rows = rows_of(theirs)
-    types = {
-        n: (str(ours.schema.field(n).type), str(theirs.schema.field(n).type))
-        for n in our_names
-        if n in their_names and str(ours.schema.field(n).type) != str(theirs.schema.field(n).type)
-    }
     same = our_names == their_names and our_rows == their_rows
-    return same, seconds, ours, our_names, their_names, our_rows, their_rows, types
+    notes = []
+    if our_names != their_names:
+        notes.append(f"columns {set(our_names) ^ set(their_names)}")
+    for n in set(our_names) & set(their_names):
+        pair = (str(ours.schema.field(n).type), str(theirs.schema.field(n).type))
+        if pair[0] != pair[1]:
+            notes.append(f"type of {n} {pair}")
+    if our_names == their_names and not same:
+        for label, more in (("ours", our_rows - their_rows), ("text", their_rows - our_rows)):
+            notes.append(f"only {label} {sum(more.values())} {list(more)[:3]}")
+    return same, ours, notes
 
 
 def connect(folder):
@@ -71,19 +75,18 @@ def main():
     for name, text in entry_points.oracle_sql().items():
         if wanted and name not in wanted:
             continue
+        start = time.time()
         try:
-            same, seconds, ours, a, b, x, y, types = compare(spark, con, folder, name, text)
+            df = entry_points.queries()[name](spark, folder)
+            same, ours, notes = compare(df, con, text)
         except Exception as error:  # noqa: BLE001
             bad += 1
             print(f"ERROR {name}: {str(error)[:700]}")
             continue
-        print(f"{'ok  ' if same else 'DIFF'} {name} rows={ours.num_rows} {seconds:.2f}s {types or ''}")
-        if not same:
-            bad += 1
-            if a != b:
-                print("  columns", set(a) ^ set(b))
-            print("  only ours", sum((x - y).values()), list((x - y))[:3])
-            print("  only text", sum((y - x).values()), list((y - x))[:3])
+        bad += not same
+        print(f"{'ok  ' if same else 'DIFF'} {name} rows={ours.num_rows} {time.time() - start:.2f}s")
+        for note in notes:
+            print("  ", note)
     print("differences:", bad)
 
 
