@@ -31,7 +31,7 @@ def test_query_matches_text_and_plan_stays_distributed(spark, con, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Cartesian|NestedLoop|Python|Pandas|CollectLimit", plan)
     # The one window without groups runs over row counts per leading digits.
-    alone = [w for w in re.findall(r"Window \[.*", plan) if w.count("], [") < 2]
+    alone = re.search(r"windowspecdefinition\([^,]* (ASC|DESC)", plan)
     assert bool(alone) == name.startswith("unmatched_zips")
 
 
