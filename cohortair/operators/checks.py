@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cohortair.functions.readings import null_below
+
 VISIT_COLUMNS = (
     "person_id",
     "macrovisit_id",
@@ -58,7 +60,7 @@ def max_count_check(
     rows = readings.select(
         *keys,
         "ObservationCount",
-        F.when(F.col("ArithmeticMean") >= limit, F.col("ArithmeticMean")).alias("ArithmeticMean"),
+        null_below("ArithmeticMean", limit).alias("ArithmeticMean"),
     )
     highest = readings.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.max("ObservationCount").alias("maxObservationCount")
@@ -92,7 +94,7 @@ def compare_methods(
             & (F.col("SampleDuration") == duration)
             & F.col("DateLocal").isNotNull()
         )
-        .withColumn("_value", F.when(F.col("ArithmeticMean") >= 0, F.col("ArithmeticMean")))
+        .withColumn("_value", null_below("ArithmeticMean", 0.0))
         .groupBy("DateLocal", "MethodName", "MethodCode")
         .agg(
             F.count(F.lit(1)).alias("rows"),

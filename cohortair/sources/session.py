@@ -14,8 +14,14 @@ ADAPTIVE_SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive execution with skew splitting; returns the session."""
+def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Turn on adaptive execution with skew splitting; returns the session.
+
+    `shuffle_partitions` should make a partition of the largest shuffle 100 to
+    200 MB; adaptive execution merges what turns out smaller.
+    """
     for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions)
     return spark

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -11,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table of a folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
+    """A Parquet table of a folder, or a table of the session's catalog."""
+    return spark.table(name) if folder is None else spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,14 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_SETTING} must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="cohortair-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_SETTING} must name a shared folder on a cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortair-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def publish(
@@ -47,8 +46,24 @@ def publish(
     """
     spark = df.sparkSession
     if folder is None:
-        folder = os.path.join(shared_folder(spark), uuid.uuid4().hex)
+        folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     path = f"{folder}/{name}.parquet"
     out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
     out.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def publish_table(
+    df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0
+) -> DataFrame:
+    """Write the rows as a catalog table and return it.
+
+    Tables that are joined by one key again and again (people, visits,
+    conditions by `person_id`; readings by `aqs_site_id`) can be stored in
+    buckets of that key: joins and groupings by it then need no shuffle.
+    """
+    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by is not None:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)

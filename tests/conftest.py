@@ -1,6 +1,7 @@
 import datetime
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -17,6 +18,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "America/New_York")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

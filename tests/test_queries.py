@@ -2,6 +2,7 @@
 
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from check_oracles import compare, connect
@@ -14,8 +15,17 @@ LIBRARY = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 
 @pytest.fixture(scope="module")
-def con():
-    return connect(FOLDER)
+def outcomes(spark):
+    """All queries, a few at a time: most of their time is planning."""
+    con = connect(FOLDER)
+
+    def run(name):
+        df = entry_points.queries()[name](spark, FOLDER)
+        found = compare(df, con.cursor(), entry_points.oracle_sql()[name])
+        return *found, df._jdf.queryExecution().executedPlan().toString()
+
+    with ThreadPoolExecutor(6) as pool:
+        yield {name: pool.submit(run, name) for name in entry_points.queries()}
 
 
 def test_every_query_has_a_text():
@@ -23,12 +33,10 @@ def test_every_query_has_a_text():
 
 
 @pytest.mark.parametrize("name", list(entry_points.queries()))
-def test_query_matches_text_and_plan_stays_distributed(spark, con, name):
-    df = entry_points.queries()[name](spark, FOLDER)
-    same, ours, notes = compare(df, con, entry_points.oracle_sql()[name])
+def test_query_matches_text_and_plan_stays_distributed(outcomes, name):
+    same, ours, notes, plan = outcomes[name].result()
     assert same and not notes
     assert ours.num_rows > 0
-    plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Cartesian|NestedLoop|Python|Pandas|CollectLimit", plan)
     # The one window without groups runs over row counts per leading digits.
     alone = re.search(r"windowspecdefinition\([^,]* (ASC|DESC)", plan)

@@ -42,7 +42,7 @@ class Study:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = read_table(self.spark, self.folder, name)
+            self._read[name] = read_table(self.spark, name, self.folder)
         return self._read[name]
 
     def members(self) -> DataFrame:
