@@ -27,6 +27,13 @@ def first_event_dates(
     diagnosis, the earliest of all, and the kind that set it (a tie goes to
     PCR or antigen, then to the diagnosis).
     """
+    if poslab_only:
+        return (
+            labs.where(F.col("concept_set_name") == names.pcr_antigen)
+            .groupBy("person_id")
+            .agg(F.min("measurement_date").alias(LAB_INDEX))
+            .where(F.col(LAB_INDEX).isNotNull())
+        )
     events = labs.select(
         "person_id",
         F.col("measurement_date").alias("day"),
@@ -34,13 +41,6 @@ def first_event_dates(
         .otherwise("antibody")
         .alias("kind"),
     )
-    if poslab_only:
-        return (
-            events.where("kind = 'pcr'")
-            .groupBy("person_id")
-            .agg(F.min("day").alias(LAB_INDEX))
-            .where(F.col(LAB_INDEX).isNotNull())
-        )
     events = events.unionByName(
         diagnoses.where(F.col("concept_set_name") == names.diagnosis).select(
             "person_id", F.col("condition_start_date").alias("day"), F.lit("diagnosis").alias("kind")
