@@ -27,18 +27,28 @@ def union_code_sets(*sets: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, sets).distinct()
 
 
-def tag_facts(facts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
-    """Facts whose `key` is a listed code, with the code and its set's name."""
-    listed = broadcast_if_small(codes.select("concept_set_name", "concept_id"))
+def tag_facts(
+    facts: DataFrame, codes: DataFrame, key: str, small: bool | None = None
+) -> DataFrame:
+    """Facts whose `key` is a listed code, with the code and its set's name.
+
+    The list is measured before it is broadcast, unless `small` tells.
+    """
+    listed = broadcast_if_small(codes.select("concept_set_name", "concept_id"), small=small)
     return facts.join(listed, facts[key] == listed["concept_id"])
 
 
 def positive_results(
-    tests: DataFrame, positives: DataFrame, key: str = "value_as_concept_id"
+    tests: DataFrame,
+    positives: DataFrame,
+    key: str = "value_as_concept_id",
+    small: bool | None = None,
 ) -> DataFrame:
     """Tests whose result is a listed code; no column is added.
 
     A code listed twice keeps its tests twice.
     """
-    listed = broadcast_if_small(positives.select(F.col("concept_id").alias("_positive")))
+    listed = broadcast_if_small(
+        positives.select(F.col("concept_id").alias("_positive")), small=small
+    )
     return tests.join(listed, tests[key] == listed["_positive"]).drop("_positive")

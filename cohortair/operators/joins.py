@@ -23,14 +23,24 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table, measured now, is small enough to be broadcast."""
+    return measured_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame, max_bytes: int = BROADCAST_BYTES, small: bool | None = None
+) -> DataFrame:
     """Hint a broadcast, but only after measuring the table.
 
     For code lists cut out of a larger table: Spark's own estimate there is
     the size of the uncut table. A list over the bound comes back unchanged
-    and Spark joins it by sorting, with skewed partitions split.
+    and Spark joins it by sorting, with skewed partitions split. `small` is
+    the answer where a table that holds this one was measured already.
     """
-    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
+    if small is None:
+        small = fits_broadcast(df, max_bytes)
+    return F.broadcast(df) if small else df
 
 
 def attach(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
