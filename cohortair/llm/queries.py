@@ -7,7 +7,7 @@ from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortair.llm import sentence_pieces, simhash, token_counts
+from cohortair.llm import decontaminate, licenses, sentence_pieces, sharding, simhash, token_counts
 from cohortair.llm.common import table
 from cohortair.sources.session import tune
 
@@ -16,6 +16,8 @@ QUERIES = {}
 TOKENIZERS = "TOKENIZER_DIR"
 SHINGLE, DISTANCE = 3, 3
 TOKEN_LIMIT = 512
+WINDOW = 10
+SHARD_BYTES = 64 * 1024 * 1024
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
@@ -42,6 +44,22 @@ def op1_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"), SHINGLE, DISTANCE)
 
 
+@query
+def op2_decontamination(spark, folder):
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.contamination(docs, items, WINDOW)
+
+
+@query
+def op3_licenses(spark, folder):
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
+@query
+def op5_sharding(spark, folder):
+    return sharding.shards(table(spark, folder, "documents"), SHARD_BYTES)
+
+
 @query
 def op6_sentence_pieces(spark, folder):
     return sentence_pieces.digests(table(spark, folder, "documents"), tokenizer(PIECES))

@@ -1,3 +1,101 @@
-"""DuckDB text of the queries that SQL can express."""
+"""DuckDB text of the queries that SQL can express, each by brute force."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from cohortair.llm.common import LOWER, UPPER
+from cohortair.llm.decontaminate import WORD
+from cohortair.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES
+from cohortair.llm.queries import SHARD_BYTES, WINDOW
+
+
+def words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
+
+
+def contamination(length: int) -> str:
+    """Every window of every item at every place of every document."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words("text")} AS words FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {words("text")} AS words FROM benchmark),
+w AS (
+  SELECT DISTINCT item, list_slice(words, CAST(s AS BIGINT), CAST(s + least({length}, len(words)) - 1 AS BIGINT)) AS win
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - {length} + 1, 1) + 1)) AS s FROM i WHERE len(words) > 0)
+),
+sizes AS (SELECT DISTINCT len(win) AS n FROM w),
+p AS (
+  SELECT r, s, n, list_slice(words, CAST(s AS BIGINT), CAST(s + n - 1 AS BIGINT)) AS win
+  FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM d, sizes WHERE len(words) >= n)
+),
+h AS (SELECT p.r, p.s, p.n, w.item FROM p JOIN w ON p.win = w.win),
+c AS (
+  SELECT r, count(DISTINCT k) AS n_hit
+  FROM (SELECT r, unnest(range(s, s + n)) AS k FROM (SELECT DISTINCT r, s, n FROM h)) GROUP BY r
+),
+t AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY r)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit,
+  coalesce(t.n_items, 0) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
+  coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN t ON d.r = t.r"""
+
+
+def licenses(containment: float) -> str:
+    """Every phrase at every place, every template against every line."""
+    phrases = ", ".join(f"('{p.label}', string_split('{p.text}', ' '))" for p in PHRASES)
+    templates = ", ".join(f"('{t.label}', list_distinct(string_split('{t.text}', ' ')))" for t in TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, {words("text")} AS words FROM documents),
+phrase(label, parts) AS (VALUES {phrases}),
+notice(label, parts) AS (VALUES {templates}),
+s AS (SELECT r, words, unnest(range(1, len(words) + 1)) AS k FROM d),
+b AS (
+  SELECT r, label, k - 1 AS start FROM s JOIN phrase
+  ON words[k] = parts[1] AND list_slice(words, CAST(k AS BIGINT), CAST(k + len(parts) - 1 AS BIGINT)) = parts
+),
+base AS (
+  SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY r
+),
+lines AS (
+  SELECT DISTINCT r, list_distinct({words("line")}) AS found
+  FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM d)
+),
+m AS (
+  SELECT r, label, len(list_intersect(found, parts)) / len(parts) AS score FROM lines, notice
+  WHERE len(found) > 0 AND len(list_intersect(found, parts)) >= ceil({containment} * len(parts) - 1e-9)
+),
+more AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM b UNION SELECT r, label FROM m) GROUP BY r
+),
+best AS (SELECT r, max(score) AS score FROM m GROUP BY r)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+  first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(score, 0) END AS DOUBLE) AS score
+FROM d LEFT JOIN base ON d.r = base.r LEFT JOIN more ON d.r = more.r LEFT JOIN best ON d.r = best.r"""
+
+
+def shards(limit: int) -> str:
+    """Every prefix of up to 40 bits, the shortest that fits."""
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+    lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)), 60, '0') AS bits
+  FROM documents
+),
+p AS (SELECT r, doc_id, bytes, deep, left(bits, deep) AS shard FROM (SELECT *, unnest(range(0, 41)) AS deep FROM d)),
+f AS (
+  SELECT deep, shard, CAST(sum(bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows FROM p
+  GROUP BY ALL HAVING sum(bytes) <= {limit} OR count(*) = 1
+)
+SELECT doc_id, shard, CAST(deep AS INTEGER) AS shard_bits, shard_bytes, shard_rows
+FROM (
+  SELECT p.r, p.doc_id, f.*, row_number() OVER (PARTITION BY p.r ORDER BY f.deep) AS k
+  FROM p JOIN f ON p.deep = f.deep AND p.shard = f.shard
+) WHERE k = 1"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": contamination(WINDOW),
+    "op3_licenses": licenses(CONTAINMENT),
+    "op5_sharding": shards(SHARD_BYTES),
+}
