@@ -94,10 +94,12 @@ def map_texts(
     `function` is called once per task and returns the one that turns a list of
     texts into one list or array per field. It gets whole texts, as many at a
     time as make up max_chars, so that memory does not depend on the batch.
-    Keys pass through as Arrow columns, so null ids keep their type.
+    Keys, which may be all columns, pass through as Arrow columns, so null ids
+    keep their type.
     """
     ship(df.sparkSession)
-    narrow = df.select(*keys, text)
+    narrow = df.select(*keys) if text in keys else df.select(*keys, text)
+    where = narrow.columns.index(text)
     schema = T.StructType([*(narrow.schema[k] for k in keys), *fields])
     names = [f.name for f in schema.fields]
     types = [to_arrow_type(f.dataType) for f in fields]
@@ -107,7 +109,7 @@ def map_texts(
         for batch in batches:
             for piece in range(0, batch.num_rows, 2000):
                 part = batch.slice(piece, 2000)
-                texts = part.column(len(keys)).to_pylist()
+                texts = part.column(where).to_pylist()
                 for a, b in slices(texts, max_chars):
                     found = work(texts[a:b])
                     columns = [part.column(i).slice(a, b - a) for i in range(len(keys))]

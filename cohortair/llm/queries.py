@@ -6,9 +6,19 @@ import os
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
-
-from cohortair.llm import decontaminate, licenses, sentence_pieces, sharding, simhash, token_counts
-from cohortair.llm.common import table
+from pyspark.sql import functions as F
+
+from cohortair.llm import (
+    decontaminate,
+    language,
+    licenses,
+    quality,
+    sentence_pieces,
+    sharding,
+    simhash,
+    token_counts,
+)
+from cohortair.llm.common import crc_fold, table
 from cohortair.sources.session import tune
 
 QUERIES = {}
@@ -17,6 +27,7 @@ TOKENIZERS = "TOKENIZER_DIR"
 SHINGLE, DISTANCE = 3, 3
 TOKEN_LIMIT = 512
 WINDOW = 10
+LANGUAGE_FOLDS, HELD_OUT_LANGUAGE = 4, 2
 SHARD_BYTES = 64 * 1024 * 1024
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
@@ -65,6 +76,19 @@ def op6_sentence_pieces(spark, folder):
     return sentence_pieces.digests(table(spark, folder, "documents"), tokenizer(PIECES))
 
 
+@query
+def op7_quality(spark, folder):
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = crc_fold(F.col("doc_id"), LANGUAGE_FOLDS) == HELD_OUT_LANGUAGE
+    trees = language.train(docs.where(~held_out))
+    return language.identify(docs, trees).withColumn("held_out", held_out)
+
+
 @query
 def op10_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer(BYTES), TOKEN_LIMIT)
