@@ -17,6 +17,7 @@ from cohortair.llm import (
     sharding,
     simhash,
     token_counts,
+    weighted_sampling,
 )
 from cohortair.llm.common import crc_fold, table
 from cohortair.sources.session import tune
@@ -89,6 +90,11 @@ def op8_language(spark, folder):
     return language.identify(docs, trees).withColumn("held_out", held_out)
 
 
+@query
+def op9_weighted_sampling(spark, folder):
+    return weighted_sampling.fingerprints(table(spark, folder, "documents"))
+
+
 @query
 def op10_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer(BYTES), TOKEN_LIMIT)
