@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortair.llm import (
     decontaminate,
     language,
+    language_model,
     licenses,
     quality,
     sentence_pieces,
@@ -28,6 +29,7 @@ TOKENIZERS = "TOKENIZER_DIR"
 SHINGLE, DISTANCE = 3, 3
 TOKEN_LIMIT = 512
 WINDOW = 10
+MODEL_FOLDS = 10
 LANGUAGE_FOLDS, HELD_OUT_LANGUAGE = 4, 2
 SHARD_BYTES = 64 * 1024 * 1024
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -67,6 +69,11 @@ def op3_licenses(spark, folder):
     return licenses.license_scan(table(spark, folder, "documents"))
 
 
+@query
+def op4_language_model(spark, folder):
+    return language_model.lm_scores(table(spark, folder, "documents"), MODEL_FOLDS)
+
+
 @query
 def op5_sharding(spark, folder):
     return sharding.shards(table(spark, folder, "documents"), SHARD_BYTES)
