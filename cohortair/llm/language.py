@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from regex import compile as pattern
 
-from cohortair.llm.common import map_texts, ship, slices
+from cohortair.llm.common import free_name, map_texts, ship, slices
 
 ORDER = 3
 UNKNOWN = "und"
@@ -184,7 +184,12 @@ def train(docs: DataFrame, per_language: int = 4000) -> Trees:
     return Trees(languages, counted.toPandas())
 
 
-def identify(docs: DataFrame, trees: Trees, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(
+    docs: DataFrame,
+    trees: Trees,
+    keys: tuple[str, ...] = ("doc_id",),
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
     """Key columns, lang_pred and score of every row, from its whole text alone.
 
     A text that is null or has no letter is `und` with score 0, and so is every
@@ -197,5 +202,12 @@ def identify(docs: DataFrame, trees: Trees, keys: tuple[str, ...] = ("doc_id",))
     def work():
         return shared.value.predict
 
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     return map_texts(docs, keys, fields, work, max_chars=2_000_000)
+
+
+def keep_identified(docs: DataFrame, trees: Trees, least: float = 0.5) -> DataFrame:
+    """The rows whose text has a language with at least that share, all columns as they are."""
+    names = free_name(docs, "lang_pred"), free_name(docs, "score")
+    found = identify(docs, trees, tuple(docs.columns), names)
+    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).drop(*names)

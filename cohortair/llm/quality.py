@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortair.llm.common import crc_fold, map_texts, ship, slices
+from cohortair.llm.common import crc_fold, free_name, map_texts, ship, slices
 from cohortair.operators.joins import broadcast_if_small
 
 WORDS, SHAPES, SIZE = 8192, 1024, 32
@@ -272,3 +272,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score reaches the threshold, all columns as they are."""
+    name = free_name(docs, "score")
+    scored = score(docs, train(docs, labels), tuple(docs.columns), name)
+    return scored.where(F.col(name) >= threshold).drop(name)

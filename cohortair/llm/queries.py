@@ -53,6 +53,11 @@ def query(fn):
     return fn
 
 
+def learned_trees(docs: DataFrame) -> language.Trees:
+    """Trees of all rows but those held out."""
+    return language.train(docs.where(crc_fold(F.col("doc_id"), LANGUAGE_FOLDS) != HELD_OUT_LANGUAGE))
+
+
 @query
 def op1_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"), SHINGLE, DISTANCE)
@@ -93,8 +98,7 @@ def op7_quality(spark, folder):
 def op8_language(spark, folder):
     docs = table(spark, folder, "documents")
     held_out = crc_fold(F.col("doc_id"), LANGUAGE_FOLDS) == HELD_OUT_LANGUAGE
-    trees = language.train(docs.where(~held_out))
-    return language.identify(docs, trees).withColumn("held_out", held_out)
+    return language.identify(docs, learned_trees(docs)).withColumn("held_out", held_out)
 
 
 @query
