@@ -6,12 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortair.functions.readings import first_used, mean_of_present, null_below
+from cohortair.operators.joins import broadcast_if_small
 from cohortair.operators.timeseries import fill_calendar, trailing
 from cohortair.settings import Duration, Pollutant
 
 SITE = "aqs_site_id"
+LABEL = ("ParameterName", "ParameterCode", "UnitsofMeasure")
 READING_COLUMNS = (
     SITE,
     "DateLocal",
@@ -39,7 +42,14 @@ def nullify_below(df: DataFrame, column: str = "ArithmeticMean", limit: float =
     return df.withColumn(column, null_below(column, limit))
 
 
-def _mean_per_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _label(labelled: bool) -> list:
+    """The smallest name, code and unit of a group, carried along as `_label` if asked for."""
+    if not labelled:
+        return []
+    return [F.min(F.struct(*LABEL)).alias("_label")]
+
+
+def _mean_per_count(df: DataFrame, keys: Sequence[str], labelled: bool = False) -> DataFrame:
     """Mean per group and observation count, gathered by site.
 
     Readings are averaged before the shuffle by site. What a site then holds
@@ -48,13 +58,20 @@ def _mean_per_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         df.where(F.col("ObservationCount").isNotNull())
         .groupBy(*keys, "ObservationCount")
-        .agg(F.avg("ArithmeticMean").alias("_mean"))
+        .agg(F.avg("ArithmeticMean").alias("_mean"), *_label(labelled))
         .repartition(keys[0])
     )
 
 
+def _least_label(labelled: bool) -> list:
+    return [F.min("_label").alias("_label")] if labelled else []
+
+
 def best_reading(
-    df: DataFrame, keys: Sequence[str] = (SITE, "DateLocal"), value: str = "measurement"
+    df: DataFrame,
+    keys: Sequence[str] = (SITE, "DateLocal"),
+    value: str = "measurement",
+    labelled: bool = False,
 ) -> DataFrame:
     """Mean of the readings that share the group's highest observation count.
 
@@ -62,13 +79,15 @@ def best_reading(
     without a count are left out.
     """
     return (
-        _mean_per_count(df, keys)
+        _mean_per_count(df, keys, labelled)
         .groupBy(*keys)
-        .agg(F.max_by("_mean", "ObservationCount").alias(value))
+        .agg(F.max_by("_mean", "ObservationCount").alias(value), *_least_label(labelled))
     )
 
 
-def best_by_duration(df: DataFrame, durations: Sequence[Duration]) -> DataFrame:
+def best_by_duration(
+    df: DataFrame, durations: Sequence[Duration], labelled: bool = False
+) -> DataFrame:
     """`best_reading` within each duration, one column per duration."""
     listed = df.where(F.col("SampleDuration").isin(*[d.label for d in durations]))
     best = []
@@ -76,13 +95,15 @@ def best_by_duration(df: DataFrame, durations: Sequence[Duration]) -> DataFrame:
         count = F.when(F.col("SampleDuration") == d.label, F.col("ObservationCount"))
         best.append(F.max_by(F.col("_mean"), count).alias(d.value))
     return (
-        _mean_per_count(listed, (SITE, "DateLocal", "SampleDuration"))
+        _mean_per_count(listed, (SITE, "DateLocal", "SampleDuration"), labelled)
         .groupBy(SITE, F.col("DateLocal").alias("date"))
-        .agg(*best)
+        .agg(*best, *_least_label(labelled))
     )
 
 
-def daily_by_duration(df: DataFrame, durations: Sequence[Duration]) -> DataFrame:
+def daily_by_duration(
+    df: DataFrame, durations: Sequence[Duration], labelled: bool = False
+) -> DataFrame:
     """Mean of all readings of a site and day, one column per duration.
 
     A duration may ask for a certain observation count.
@@ -94,7 +115,8 @@ def daily_by_duration(df: DataFrame, durations: Sequence[Duration]) -> DataFrame
             holds = holds & (F.col("ObservationCount") == d.needs_count)
         counted = counted | holds
         means.append(F.avg(F.when(holds, F.col("ArithmeticMean"))).alias(d.value))
-    return df.where(counted).groupBy(SITE, F.col("DateLocal").alias("date")).agg(*means)
+    by_day = df.where(counted).groupBy(SITE, F.col("DateLocal").alias("date"))
+    return by_day.agg(*means, *_label(labelled))
 
 
 def pick_duration(df: DataFrame, durations: Sequence[Duration], value: str) -> DataFrame:
@@ -116,14 +138,17 @@ def mean_duration(df: DataFrame, durations: Sequence[Duration], value: str) -> D
     )
 
 
-def daily_series(readings: DataFrame, kind: Pollutant) -> DataFrame:
-    """One row per monitor and calendar day of one pollutant's readings."""
+def daily_series(readings: DataFrame, kind: Pollutant, labelled: bool = False) -> DataFrame:
+    """One row per monitor and calendar day of one pollutant's readings.
+
+    `labelled` carries each day's smallest label along as `_label`.
+    """
     valid = nullify_below(readings, limit=kind.limit)
     if not kind.durations:
-        daily = best_reading(valid, value=kind.value).withColumnRenamed("DateLocal", "date")
-        return fill_calendar(daily)
+        daily = best_reading(valid, value=kind.value, labelled=labelled)
+        return fill_calendar(daily.withColumnRenamed("DateLocal", "date"))
     by_duration = best_by_duration if kind.within_day == "best" else daily_by_duration
-    filled = fill_calendar(by_duration(valid, kind.durations))
+    filled = fill_calendar(by_duration(valid, kind.durations, labelled))
     choose = pick_duration if kind.between == "first" else mean_duration
     return choose(filled, kind.durations, kind.value)
 
@@ -152,8 +177,9 @@ def zip_daily(readings: DataFrame, kind: Pollutant) -> DataFrame:
         "rows": F.count("date"),
         "flags": sum((F.sum(d.used) for d in kind.durations), F.lit(0)),
     }[kind.monitors]
+    labels = _least_label("_label" in readings.columns)
     return readings.groupBy("zip_code", "date").agg(
-        F.avg(kind.value).alias(kind.area_value), monitors.alias("num_monitors"), *counts
+        F.avg(kind.value).alias(kind.area_value), monitors.alias("num_monitors"), *counts, *labels
     )
 
 
@@ -174,15 +200,34 @@ def label_series(df: DataFrame, readings: DataFrame) -> DataFrame:
     )
 
 
+def near_readings(
+    readings: DataFrame, nearby: DataFrame, small: bool | None = None
+) -> DataFrame:
+    """Readings of the monitors nearby.
+
+    Whole monitors go, so the calendars of the others stay as they are. The
+    monitors' ids are sent to the readings if they measure small.
+    """
+    located = nearby.where(F.col("zip_code").isNotNull())
+    sites = broadcast_if_small(located.select(SITE).distinct(), small=small)
+    return readings.join(sites, SITE, "left_semi")
+
+
 def zip_series(
-    matched: DataFrame, readings: DataFrame, kind: Pollutant, days: Sequence[int] = (30, 365)
+    matched: DataFrame, kind: Pollutant, days: Sequence[int] = (30, 365)
 ) -> DataFrame:
-    """Daily series per ZIP with its trailing means, labelled."""
+    """Daily series per ZIP with its trailing means, labelled.
+
+    The label comes with the monitor days, so readings are not scanned again:
+    a ZIP has the smallest name, code and unit among the readings that count
+    of its own monitors.
+    """
     looked = trailing(zip_daily(matched, kind), days, value=kind.area_value)
     if kind.labelled:
-        looked = label_series(looked, readings)
+        of_zip = Window.partitionBy("zip_code")
+        looked = looked.withColumn("_label", F.min("_label").over(of_zip)).select("*", "_label.*")
     head = ["zip_code", F.col("date").alias("meas_date")]
-    label = ["ParameterName", "ParameterCode", "UnitsofMeasure"] if kind.labelled else []
+    label = list(LABEL) if kind.labelled else []
     counts = [d.counted for d in kind.durations]
     past = [c for n in days for c in (f"prev_{n}_day_avg", f"prev_{n}_days_w_obs")]
     return looked.select(*head, *label, kind.area_value, "num_monitors", *counts, *past)

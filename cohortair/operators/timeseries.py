@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Sums over a long calendar of values below this fit the decimals they are kept in.
-LARGEST = 1e14
-
 
 def fill_calendar(df: DataFrame, site: str = "aqs_site_id", day: str = "date") -> DataFrame:
     """Every day from a site's first to its last, with nulls where it has no row.
@@ -44,41 +41,15 @@ def trailing(
     """Mean and number of values over the previous n days, the day itself excluded.
 
     Days are counted as day numbers, so neither the session's time zone nor a
-    clock change shifts a window.
-
-    A frame of n days would add up its values again for every row. Frames that
-    only grow cost one step per row, so a window's sum is the sum of all days
-    before today less the sum of all days before the window. Sums are kept as
-    decimals, which makes the difference exact: a window of zeros gives zero
-    after any history. All frames share one shuffle by site and one sort. A
-    window with a value that is not finite, or beyond 10^14, has the mean NaN.
+    clock change shifts a window. Each frame adds its own values up, at most n
+    per row: differences of running sums would be cheaper, but lose small
+    values beside large ones and anything after an infinity. All frames share
+    one shuffle by site and one sort.
     """
     by_site = Window.partitionBy(site).orderBy("_day_no")
-    fits = F.abs(F.col(value)) < LARGEST
-    looked = df.withColumns(
-        {
-            "_day_no": F.unix_date(F.col(day)),
-            "_exact": F.when(fits, F.col(value)).try_cast("decimal(38,18)"),
-            "_unfit": (F.col(value).isNotNull() & ~fits).cast("int"),
-        }
-    )
-
-    def before(n: int) -> dict:
-        past = by_site.rangeBetween(Window.unboundedPreceding, -n - 1)
-        none = F.lit(0)
-        return {
-            f"_sum_{n}": F.coalesce(F.sum("_exact").over(past), none.cast("decimal(38,18)")),
-            f"_unfit_{n}": F.coalesce(F.sum("_unfit").over(past), none),
-            f"_n_{n}": F.count(value).over(past),
-        }
-
-    looked = looked.withColumns({k: c for n in (0, *days) for k, c in before(n).items()})
     added = []
     for n in days:
-        count = F.col("_n_0") - F.col(f"_n_{n}")
-        total = (F.col("_sum_0") - F.col(f"_sum_{n}")).cast("double")
-        mean = F.when(F.col("_unfit_0") > F.col(f"_unfit_{n}"), float("nan")).otherwise(
-            F.try_divide(total, count)
-        )
-        added += [mean.alias(f"prev_{n}_day_avg"), count.alias(f"prev_{n}_days_w_obs")]
-    return looked.select(*df.columns, *added)
+        past = by_site.rangeBetween(-n, -1)
+        added.append(F.avg(value).over(past).alias(f"prev_{n}_day_avg"))
+        added.append(F.count(value).over(past).alias(f"prev_{n}_days_w_obs"))
+    return df.withColumn("_day_no", F.unix_date(F.col(day))).select(*df.columns, *added)

@@ -25,11 +25,15 @@ def pollutant_series(
     kind: Pollutant,
     days: Sequence[int] = (30, 365),
 ) -> DataFrame:
-    """Daily series of one pollutant for every ZIP of the cohort."""
+    """Daily series of one pollutant for every ZIP of the cohort.
+
+    Only monitors near the cohort are reduced to days and filled; readings are
+    scanned once.
+    """
     of_kind = air.pollutant(readings, kind.code, kind.keep)
     zip_zcta = area.zips_to_zcta(area.cohort_zips(people), crosswalk)
     nearby = area.nearby_monitors(zip_zcta, area.zcta_monitors(pairs), kind.dedupe)
     # Monitor days are distinct by construction and so is `nearby` where it
     # matters, so no repeats are left to drop after the join.
-    matched = air.zip_readings(air.daily_series(of_kind, kind), nearby, dedupe=False)
-    return air.zip_series(matched, of_kind, kind, days)
+    daily = air.daily_series(air.near_readings(of_kind, nearby), kind, kind.labelled)
+    return air.zip_series(air.zip_readings(daily, nearby, dedupe=False), kind, days)

@@ -1,8 +1,12 @@
 import datetime
+import functools
 import math
+import operator
 import random
 
+import pytest
 from conftest import day, rows
+from pyspark.sql import functions as F
 
 from cohortair.operators import air, checks, timeseries
 from cohortair.plans import environment
@@ -162,6 +166,39 @@ def test_trailing_sums_are_exact_after_large_values(spark):
     assert with_nan[first + datetime.timedelta(days=32)] == 2.0
 
 
+@pytest.mark.parametrize("history", [[], [1e300], [0.0, 5e20], [float("inf")]])
+def test_trailing_means_of_any_double_equal_brute_force(spark, history):
+    first = datetime.date(2020, 1, 1)
+    special = [1e15, 1e300, 1e-20, -1e-20, 3e-310, 0.0, 0.0, None, float("inf"), 1.0, -float("inf"),
+               2.5, float("nan"), 1e15, 1 / 3, 1e14, -1e14]
+    values = history + special + [0.1 * i for i in range(45)] + [1e-12, 0.0]
+    data = [("a", first + datetime.timedelta(days=i), v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "zip_code string, date date, measurement_avg double")
+    made = {r["date"]: r for r in timeseries.trailing(df, days=(2, 30)).collect()}
+    for i, (_, date, _) in enumerate(data):
+        for n in (2, 30):
+            past = [v for v in values[max(0, i - n) : i] if v is not None]
+            mean = made[date][f"prev_{n}_day_avg"]
+            assert made[date][f"prev_{n}_days_w_obs"] == len(past)
+            if not past:
+                assert mean is None
+                continue
+            # Added up one by one; `sum` would make up for lost bits.
+            expected = functools.reduce(operator.add, past, 0.0) / len(past)
+            assert math.isclose(mean, expected, rel_tol=1e-12) or (math.isnan(mean) and math.isnan(expected))
+
+
+def test_a_zip_has_the_smallest_label_of_its_monitors(spark):
+    people, crosswalk, pairs = series_inputs(spark)
+    data = [("m1", "2020-01-01", 2.0, "1 HOUR", 24), ("m2", "2020-01-01", 4.0, "1 HOUR", 24),
+            ("m3", "2020-01-02", 9.0, "1 HOUR", 24)]
+    told = readings(spark, data).withColumn(
+        "ParameterName", F.when(F.col("aqs_site_id") == "m3", "a").otherwise(F.concat(F.lit("n "), "aqs_site_id"))
+    )
+    series = environment.pollutant_series(told, people, crosswalk, pairs, NO2)
+    assert {r["ParameterName"] for r in series.collect()} == {"n m1"}
+
+
 def series_inputs(spark):
     people = spark.createDataFrame(
         [("p", "10035"), ("q", "10035"), ("r", None)], "person_id string, zip_code string"
