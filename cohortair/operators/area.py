@@ -28,6 +28,12 @@ def attach_disease_count(people: DataFrame, summary: DataFrame) -> DataFrame:
     return people.join(summary.select("person_id", "MDs"), "person_id", "left")
 
 
+def attach_zcta(people: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """People with the `ZCTA` of their cleaned ZIP; people without a ZIP have none."""
+    zcta = crosswalk.select(F.col("ZIP_CODE").alias("zip_code"), "ZCTA")
+    return attach(people, zcta, "zip_code")
+
+
 def unmatched_areas(people: DataFrame) -> DataFrame:
     """Distinct places of people whose ZIP has no ZCTA."""
     return people.where(F.col("ZCTA").isNull()).select("city", "state", "zip", "ZCTA").distinct()

@@ -52,10 +52,11 @@ def person_stays(visits: DataFrame, person_id, ordered: bool = True) -> DataFram
 def max_count_check(
     readings: DataFrame, keys: Sequence[str] = ("aqs_site_id", "DateLocal"), limit: float = 0.0
 ) -> DataFrame:
-    """All readings with the highest observation count of their group.
+    """All readings, each with the highest observation count of its group.
 
     The highest count is aggregated, partly before the shuffle, and joined
-    back, so a group with very many readings is never held by one task.
+    back, so a group with very many readings is never held by one task, as a
+    window would. That reads three columns of the readings a second time.
     """
     rows = readings.select(
         *keys,

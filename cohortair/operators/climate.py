@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from cohortair.operators.joins import attach
 from cohortair.settings import LAB_INDEX
+from cohortair.sources.tables import new_folder, publish
 
 MEASURES = ("MeanTemp", "Precip", "DewPoint")
 
@@ -37,7 +38,10 @@ def climate_for_zips(climate: DataFrame, zips: DataFrame, ordered: bool = False)
 
 
 def people_with_climate(people: DataFrame, climate: DataFrame) -> DataFrame:
-    """People whose ZIP has climate rows, with their index date."""
+    """People whose ZIP has climate rows, with their index date.
+
+    One row per row of `people`, which holds each person once.
+    """
     covered = distinct_zips(climate, "POSTCODE").withColumnRenamed("POSTCODE", "zip_code")
     return (
         people.where(F.col("zip_code").isNotNull())
@@ -80,26 +84,28 @@ def attach_climate(lags: DataFrame, climate: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, key: str, head: int = 3) -> DataFrame:
-    """Numbers rows by a distinct text key, missing first, without one big task.
+def number_rows(df: DataFrame, key: str) -> DataFrame:
+    """Numbers rows by a distinct key, missing first, without one big task.
 
-    Rows are counted per leading `head` characters. Texts with a smaller head
-    sort first, so a running total over the heads gives each head's first
-    number and rows are numbered within their head only.
+    Rows are dealt by ranges of the key, whose bounds Spark takes from the
+    data, and stored once with the number of their range in the shared folder.
+    Ranges are then counted, and rows numbered within their range.
     """
-    headed = df.withColumn("_head", F.substring(F.col(key), 1, head))
-    per_head = headed.groupBy("_head").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = Window.orderBy(F.col("_head").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = per_head.select(
-        F.col("_head").alias("_of_head"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")
+    spread = df.repartitionByRange(F.col(key).asc_nulls_first())
+    dealt = spread.withColumn("_part", F.spark_partition_id())
+    stored = publish(dealt, "numbered", new_folder(df.sparkSession))
+    ahead = Window.orderBy(F.col("_part").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    offsets = (
+        stored.groupBy("_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy("_head").orderBy(F.col(key).asc_nulls_first())
+    within = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_first())
     return (
-        headed.join(offsets, F.col("_head").eqNullSafe(F.col("_of_head")))
+        stored.join(offsets, "_part")
         .withColumn("row_num", (F.col("_before") + F.row_number().over(within)).cast("int"))
-        .drop("_head", "_of_head", "_before")
+        .drop("_part", "_before")
     )
 
 

@@ -27,8 +27,33 @@ def condition_codes(rules: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _coded(conditions: DataFrame, codes: DataFrame) -> DataFrame:
-    listed = broadcast_if_small(codes.select(F.col("concept_id").alias("_code"), "column_name"))
+def condition_names(codes: DataFrame) -> list[str]:
+    """Names of the rule sheet's conditions, of which there are a handful, in order.
+
+    `codes` is the rule sheet or the code list made from it.
+    """
+    if "comorbidity" in codes.columns:
+        codes = codes.where(
+            F.col("domain").contains("condition_occurrence") & (F.col("comorbidity") == 1)
+        )
+    return sorted(r[0] for r in codes.select("column_name").distinct().collect() if r[0] is not None)
+
+
+def _listed(codes: DataFrame, names: Sequence[str] | None) -> list[str]:
+    """The names, or those of the codes; a coded condition without a column is an error."""
+    found = condition_names(codes)
+    if names is None:
+        return found
+    missing = set(found) - set(names)
+    if missing:
+        raise ValueError(f"codes hold conditions that are not listed: {sorted(missing)}")
+    return list(names)
+
+
+def _coded(conditions: DataFrame, codes: DataFrame, small: bool | None = None) -> DataFrame:
+    listed = broadcast_if_small(
+        codes.select(F.col("concept_id").alias("_code"), "column_name"), small=small
+    )
     return conditions.where(F.col("condition_start_date").isNotNull()).join(
         listed, F.col("condition_concept_id") == F.col("_code")
     )
@@ -41,16 +66,23 @@ def _of_people(grouped: DataFrame, people: DataFrame) -> DataFrame:
 
 
 def first_conditions_wide(
-    people: DataFrame, conditions: DataFrame, codes: DataFrame, names: Sequence[str]
+    people: DataFrame,
+    conditions: DataFrame,
+    codes: DataFrame,
+    names: Sequence[str] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Per person, the first date of each condition and that record's id.
 
-    Columns are `<name>_start` and `<name>_c_occ_id` for each of `names`.
+    Columns are `<name>_start` and `<name>_c_occ_id` for each of `names`, or of
+    the codes' names if none are given; a coded name that is not listed is an
+    error. `small` tells whether the code list was measured as small already.
     Same-day records are told apart by the smaller id. Records are reduced to
     one row per person, partly before the shuffle, before people are matched.
     """
+    names = _listed(codes, names)
     firsts = (
-        _coded(conditions, codes)
+        _coded(conditions, codes, small)
         .groupBy("person_id")
         .agg(
             *[
@@ -72,11 +104,25 @@ def first_conditions_wide(
 
 
 def condition_flags_by_date(
-    people: DataFrame, conditions: DataFrame, codes: DataFrame, names: Sequence[str]
+    people: DataFrame,
+    conditions: DataFrame,
+    codes: DataFrame,
+    names: Sequence[str] | None = None,
+    small: bool | None = None,
+    small_people: bool | None = None,
 ) -> DataFrame:
-    """Per person and date of a coded condition, a 0/1 flag for each of `names`."""
-    flags = (
-        _coded(conditions, codes)
+    """Per person and date of a coded condition, a 0/1 flag for each of `names`.
+
+    Names as in `first_conditions_wide`. People are matched first: a person has
+    about as many dates as records, so grouping before would not save much.
+    Ids that measure small are sent to the records; else records and ids meet
+    in one shuffle by person, and are grouped where they lie.
+    """
+    names = _listed(codes, names)
+    ids = broadcast_if_small(people.select("person_id").distinct(), small=small_people)
+    return (
+        _coded(conditions, codes, small)
+        .join(ids, "person_id")
         .groupBy("person_id", F.col("condition_start_date").alias("comorbidity_start_date"))
         .agg(
             *[
@@ -85,7 +131,6 @@ def condition_flags_by_date(
             ]
         )
     )
-    return _of_people(flags, people)
 
 
 def condition_flags_by_person(

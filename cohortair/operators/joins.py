@@ -43,18 +43,21 @@ def broadcast_if_small(
     return F.broadcast(df) if small else df
 
 
-def attach(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def attach(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], spread_over: int = NULL_SPREAD
+) -> DataFrame:
     """Left join on keys that may be missing.
 
     Rows without a key match nothing, yet would all go to one task. A second
-    key spreads them; rows with a key carry 0 there and join as usual.
+    key spreads them over up to `spread_over` tasks; rows with a key carry 0
+    there and join as usual.
     """
     keys = [on] if isinstance(on, str) else list(on)
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
     spread = F.when(
-        missing, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(NULL_SPREAD))
+        missing, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(spread_over))
     ).otherwise(F.lit(0).cast("long"))
     # Always 0, but worked out from the keys: a literal would be folded into
     # a filter and would no longer be a key that rows are shuffled by.

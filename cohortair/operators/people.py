@@ -18,13 +18,13 @@ from cohortair.settings import LAB_INDEX, LAB_OR_DIAGNOSIS_INDEX
 
 
 def sample_cohort(
-    cohort: DataFrame, fraction: float = 1.0, seed: int = 111, stable_key: str | None = None
+    cohort: DataFrame, fraction: float = 1.0, seed: int = 111, stable_key: str | None = "person_id"
 ) -> DataFrame:
     """Sample of rows without replacement; the default keeps all.
 
-    Spark's sample depends on how rows lie in partitions. With `stable_key`
-    a hash of that column and the seed decides, so the same people are drawn
-    on any cluster.
+    A hash of `stable_key` and the seed decides, so the same people are drawn
+    on any cluster and in every use of the sample. Without a key it is Spark's
+    sample, which depends on how rows lie in partitions.
     """
     if fraction >= 1.0:
         return cohort

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from cohortair.functions.days import days_around
 from cohortair.operators.conditions import newest_members
-from cohortair.operators.joins import broadcast_if_small
+from cohortair.operators.joins import broadcast_if_small, fits_broadcast
 from cohortair.settings import LAB_INDEX, LAB_OR_DIAGNOSIS_INDEX, PCR_ANTIGEN_LABEL
 
 STAY = ["macrovisit_id", "macrovisit_start_date", "macrovisit_end_date"]
@@ -39,6 +39,19 @@ def _window_index(people: DataFrame, mode: str, before: int, after: int) -> Data
     raise ValueError("mode is 'either' or 'both'")
 
 
+def of_people(visits: DataFrame, people: DataFrame, small: bool | None = None) -> DataFrame:
+    """Visits of the given people, where their ids measure small; else all visits.
+
+    Drops visits before any shuffle if that is cheap. The joins by person that
+    follow give the same rows either way. `small` is the answer where the ids
+    were measured already.
+    """
+    ids = people.select("person_id").distinct()
+    if small is None:
+        small = fits_broadcast(ids)
+    return visits.join(F.broadcast(ids), "person_id", "left_semi") if small else visits
+
+
 def associated_er_visits(
     visits: DataFrame,
     people: DataFrame,
@@ -46,18 +59,20 @@ def associated_er_visits(
     before: int = 1,
     after: int = 16,
     mode: str = "either",
+    small: bool | None = None,
+    small_people: bool | None = None,
 ) -> DataFrame:
     """First emergency-room visit per person near the index date, outside stays.
 
     "either" measures from the first lab or diagnosis date; "both" from the lab
     date, and the diagnosis must lie as near to it.
     """
-    listed = broadcast_if_small(codes.select(F.col("concept_id").alias("_code")))
+    listed = broadcast_if_small(codes.select(F.col("concept_id").alias("_code")), small=small)
     er_days = (
-        visits.where(F.col("macrovisit_start_date").isNull())
+        of_people(visits, people, small_people)
+        .where(F.col("macrovisit_start_date").isNull())
         .join(listed, F.col("visit_concept_id") == F.col("_code"), "left_semi")
         .select("person_id", "visit_start_date")
-        .distinct()
     )
     near = days_around(
         _window_index(people, mode, before, after), "index_date", before, after, "visit_start_date"
@@ -70,13 +85,22 @@ def associated_er_visits(
 
 
 def associated_stays(
-    visits: DataFrame, people: DataFrame, before: int = 1, after: int = 16, mode: str = "either"
+    visits: DataFrame,
+    people: DataFrame,
+    before: int = 1,
+    after: int = 16,
+    mode: str = "either",
+    small_people: bool | None = None,
 ) -> DataFrame:
-    """First stay per person that starts near the index date."""
+    """First stay per person that starts near the index date.
+
+    The records of a stay are not reduced to one first: the minimum doesn't
+    mind repeats, and reducing would cost a shuffle of its own.
+    """
     stays = (
-        visits.where(F.col("macrovisit_start_date").isNotNull())
+        of_people(visits, people, small_people)
+        .where(F.col("macrovisit_start_date").isNotNull())
         .select("person_id", *STAY)
-        .distinct()
     )
     near = days_around(
         _window_index(people, mode, before, after),
@@ -108,14 +132,19 @@ def merge_first_visits(
 
 
 def first_covid_stay(
-    people: DataFrame, visits: DataFrame, pre: int = 1, post: int = 16, index_date: str = LAB_INDEX
+    people: DataFrame,
+    visits: DataFrame,
+    pre: int = 1,
+    post: int = 16,
+    index_date: str = LAB_INDEX,
+    small_people: bool | None = None,
 ) -> DataFrame:
     """People with their first stay near the index date, if any, and a 0/1 flag.
 
     The stay starts in the window and does not end before the index date. Of
     stays that start on one day the smaller id is first.
     """
-    stays = cohort_stays(visits, keep_partner=False)
+    stays = _stay_records(of_people(visits, people, small_people))
     near = days_around(
         people.select("person_id", F.col(index_date).alias("index_date")),
         "index_date",
@@ -147,13 +176,16 @@ def later_stays(
     index_date: str = LAB_OR_DIAGNOSIS_INDEX,
     stay_start: str = "first_COVID_hospitalization_start_date",
     stay_end: str = "first_COVID_hospitalization_end_date",
+    small_people: bool | None = None,
 ) -> DataFrame:
     """Stays that start after the associated stay, or after the index date.
 
-    One row per person and stay, the stay's earliest later record.
+    One row per person and stay, the stay's earliest later record. Records are
+    shuffled once, by person, and grouped where they lie.
     """
     since = people.select("person_id", index_date, stay_start, stay_end)
-    later = cohort_stays(visits, keep_partner=False).join(since, "person_id").where(
+    records = _stay_records(of_people(visits, people, small_people))
+    later = records.join(since, "person_id").where(
         F.coalesce(F.col(stay_start), F.col(index_date)) < F.col("macrovisit_start_date")
     )
     first = F.min(F.struct("macrovisit_start_date", "macrovisit_end_date"))
@@ -182,6 +214,11 @@ def cohort_visits(visits: DataFrame, dates: DataFrame) -> DataFrame:
     return visits.join(dates.select("person_id").distinct(), "person_id", "left_semi")
 
 
+def _stay_records(visits: DataFrame) -> DataFrame:
+    """Each visit's stay, repeats and all."""
+    return visits.where(F.col("macrovisit_id").isNotNull()).select("person_id", *STAY)
+
+
 def cohort_stays(visits: DataFrame, keep_partner: bool = True) -> DataFrame:
     """Distinct stays of the visits."""
     owner = ["person_id", "data_partner_id"] if keep_partner else ["person_id"]
@@ -216,8 +253,9 @@ def flag_stays(
         .groupBy("person_id", "macrovisit_start_date")
         .agg(F.min("poslab_date").alias("poslab_date"))
     )
-    # All rows of a stay share its earliest date. Distinct stays are few per
-    # id, and a window reads them once where a join back would read them twice.
+    # All rows of a stay share its earliest date. An id names one stay, so its
+    # distinct rows are few as long as ids are real; a window reads them once
+    # where a join back would read them twice.
     of_stay = Window.partitionBy("macrovisit_id")
     near = F.when(F.col("poslab_date") <= F.col("macrovisit_end_date"), F.col("poslab_date"))
     return (

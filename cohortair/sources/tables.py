@@ -31,26 +31,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def publish(
-    df: DataFrame,
-    name: str,
-    folder: str | None = None,
-    cluster_by: tuple[str, ...] = (),
+    df: DataFrame, name: str, folder: str, cluster_by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Write the rows under a final name and return the stored table.
+    """Write the rows as a new table of a folder and return the stored table.
 
     The stored table has no lineage, so later flows that use it several times
     read it instead of computing it again, and a lost executor costs no more
-    than a re-read. Without a folder the table goes to a new place in the
-    shared folder. `cluster_by` sorts each file by these columns, so that a
-    filter on them skips row groups.
+    than a re-read. It lies at `<folder>/<name>.parquet`; the folder must be one
+    that all executors reach, such as a new one under `shared_folder`. A table
+    that is there already is never overwritten, as the rows may come from it:
+    Spark raises before anything is written, and callers take a new folder per
+    run. `cluster_by` sorts each file by these columns, so that a filter on
+    them skips row groups.
     """
-    spark = df.sparkSession
-    if folder is None:
-        folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    path = f"{folder}/{name}.parquet"
+    path = f"{folder.rstrip('/')}/{name}.parquet"
     out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own for one run, under the shared one."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def publish_table(

@@ -1,3 +1,4 @@
+import pytest
 from conftest import day, rows
 
 from cohortair.functions.demographics import RACE_RULES_OLDER
@@ -138,6 +139,16 @@ def test_locations_and_sites(spark):
     assert "first_antigen_or_poslab_or_diagnosis_date" not in older.columns
 
 
+def test_a_sample_holds_the_same_people_in_every_use(spark):
+    cohort = spark.range(20000).selectExpr("cast(id AS string) AS person_id", "id % 7 AS k")
+    drawn = people.sample_cohort(cohort.groupBy("person_id").count(), 0.3)
+    again = people.sample_cohort(cohort.repartition(7, "k"), 0.3)
+    first = {r.person_id for r in drawn.collect()}
+    assert first == {r.person_id for r in drawn.repartition(3).collect()}
+    assert first == {r.person_id for r in again.collect()}
+    assert 5500 < len(first) < 6500
+
+
 def test_conditions(spark):
     rules = spark.createDataFrame(
         [("set a", "asthma", "condition_occurrence, drug", 1, 0),
@@ -165,6 +176,16 @@ def test_conditions(spark):
     assert rows(conditions.first_conditions_wide(ids, facts, codes, names)) == [
         ("p", day("2020-02-01"), 11, day("2020-03-01"), 30)
     ]
+    assert conditions.condition_names(rules) == names
+    assert rows(conditions.first_conditions_wide(ids, facts, codes)) == [
+        ("p", day("2020-02-01"), 11, day("2020-03-01"), 30)
+    ]
+    for operator in (conditions.first_conditions_wide, conditions.condition_flags_by_date):
+        with pytest.raises(ValueError, match="cancer"):
+            operator(ids, facts, codes, ["asthma"])
+    assert rows(conditions.condition_flags_by_date(ids, facts, codes)) == rows(
+        conditions.condition_flags_by_date(ids, facts, codes, names, small_people=False)
+    )
     flags = conditions.condition_flags_by_date(ids, facts, codes, names)
     assert rows(flags) == [("p", day("2020-02-01"), 1, 0), ("p", day("2020-03-01"), 1, 1)]
     assert rows(conditions.condition_flags_by_person(flags, ids, names)) == [
