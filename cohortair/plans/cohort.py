@@ -76,21 +76,36 @@ def person_fact_older(
     condition: DataFrame,
     members: DataFrame,
     rules: DataFrame,
-    names: Sequence[str],
+    names: Sequence[str] | None = None,
     mode: str = "either",
     include_er: bool = True,
     fraction: float = 1.0,
 ) -> DataFrame:
-    """The older person table: condition flags, first stay and emergency visit."""
+    """The older person table: condition flags, first stay and emergency visit.
+
+    Conditions are those of the rule sheet unless names are given. Code lists
+    and ids are measured once: the lists by the newest members they are cut
+    from. The cohort is used five times, so callers should publish it.
+    """
     sampled = people.sample_cohort(patients, fraction)
+    newest = conditions.newest_members(members)
+    small = fits_broadcast(newest)
+    small_people = fits_broadcast(sampled.select("person_id"))
+    if names is None:
+        names = conditions.condition_names(rules)
     flags = conditions.condition_flags_by_date(
-        sampled, condition, conditions.condition_codes(rules, members), names
+        sampled, condition, conditions.condition_codes(rules, members), names, small, small_people
     )
-    stays = visits.associated_stays(visit, sampled, mode=mode)
+    stays = visits.associated_stays(visit, sampled, mode=mode, small_people=small_people)
     er = None
     if include_er:
         er = visits.associated_er_visits(
-            visit, sampled, visits.er_codes(rules, members), mode=mode
+            visit,
+            sampled,
+            visits.er_codes(rules, members),
+            mode=mode,
+            small=small,
+            small_people=small_people,
         )
     followed = people.last_death(
         visits.merge_first_visits(
@@ -115,6 +130,13 @@ def person_area(
     )
 
 
+def person_places(people_located: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """People with city, state, ZIP and the ZCTA of their ZIP, null where it has none."""
+    return area.attach_zcta(people_located, crosswalk).select(
+        "person_id", "city", "state", "zip", "zip_code", "ZCTA"
+    )
+
+
 def visit_tables(visit: DataFrame, dates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The cohort's stays with their flag, and its visits outside stays."""
     of_cohort = visits.cohort_visits(visit, dates)

@@ -22,8 +22,10 @@ from cohortair.plans import cohort as cohort_plan
 from cohortair.plans import environment
 from cohortair.settings import NO2, OZONE, PM25, PM25_OLDER, SO2
 from cohortair.sources.session import tune
-from cohortair.sources.tables import publish
-from workload.standins import CONDITIONS, NAMES, PRIORITY_NAMES, Study
+from cohortair.operators.joins import attach
+from cohortair.plans import study as study_plan
+from cohortair.sources.tables import new_folder, publish
+from workload.standins import NAMES, PRIORITY_NAMES, Study
 
 QUERIES = {}
 EVENT_COLUMNS = (
@@ -98,6 +100,11 @@ def positive_dates_all(s):
     return cohort.positive_dates(s.labs(), s.diagnoses(), PRIORITY_NAMES, poslab_only=False)
 
 
+@query
+def positive_dates(s):
+    return cohort.positive_dates(s.labs(), s.diagnoses(), PRIORITY_NAMES)
+
+
 @query
 def positive_gaps(s):
     return cohort.days_since_previous(cohort.positive_dates(s.labs(), s.diagnoses(), PRIORITY_NAMES))
@@ -175,10 +182,13 @@ def race_older(s):
     return people.race_ethnicity(s.person(), RACE_RULES_OLDER).select("person_id", "race_ethnicity")
 
 
+def _placed(s) -> DataFrame:
+    return people.clean_zip(attach(s.person(), s.location(), "location_id"))
+
+
 @query
 def clean_zip(s):
-    located = s.person().join(s.location(), "location_id", "left")
-    return people.clean_zip(located).select("person_id", "zip", "zip_code")
+    return _placed(s).select("person_id", "zip", "zip_code")
 
 
 @query
@@ -189,20 +199,22 @@ def condition_codes(s):
 @query
 def conditions_wide(s):
     return conditions.first_conditions_wide(
-        first_events(s), s.conditions(), condition_codes(s), CONDITIONS
+        first_events(s), s.conditions(), condition_codes(s)
     )
 
 
 @query
 def condition_flags(s):
     return conditions.condition_flags_by_date(
-        first_events(s), s.conditions(), condition_codes(s), CONDITIONS
+        first_events(s), s.conditions(), condition_codes(s)
     )
 
 
 @query
 def condition_flags_person(s):
-    return conditions.condition_flags_by_person(condition_flags(s), first_events(s), CONDITIONS)
+    return conditions.condition_flags_by_person(
+        condition_flags(s), first_events(s), conditions.condition_names(s.rules())
+    )
 
 
 @query
@@ -277,9 +289,7 @@ def people_area(s):
 
 @query
 def unmatched_areas(s):
-    placed = people.clean_zip(s.person().join(s.location(), "location_id", "left"))
-    zcta = s.crosswalk_base().select(F.col("ZIP_CODE").alias("zip_code"), "ZCTA")
-    return area.unmatched_areas(placed.join(zcta, "zip_code", "left"))
+    return area.unmatched_areas(cohort_plan.person_places(_placed(s), s.crosswalk_base()))
 
 
 @query
@@ -289,7 +299,7 @@ def zip_counts(s):
 
 @query
 def zip_counts_raw(s):
-    return area.count_by(s.person().join(s.location(), "location_id", "left"), "zip")
+    return area.count_by(attach(s.person(), s.location(), "location_id"), "zip")
 
 
 @query
@@ -328,13 +338,57 @@ def person_fact_older(s):
         s.conditions(),
         s.members(),
         s.rules(),
-        CONDITIONS,
+    )
+
+
+def _older(s, **options) -> DataFrame:
+    return cohort_plan.person_fact_older(
+        _patients(s), s.person(), s.location(), s.manifest(), s.visits(), s.death(),
+        s.conditions(), s.members(), s.rules(), **options,
+    )
+
+
+@query
+def person_fact_older_both(s):
+    return _older(s, mode="both")
+
+
+@query
+def person_fact_older_no_er(s):
+    return _older(s, include_er=False)
+
+
+@query
+def person_fact_sample(s):
+    return cohort_plan.person_fact(
+        first_events(s), s.person(), s.location(), s.manifest(), s.visits(), s.death(), fraction=0.3
     )
 
 
 @query
 def publish_cohort(s):
-    return publish(first_events_all(s), "patients", cluster_by=("person_id",))
+    folder = new_folder(s.spark)
+    return publish(first_events_all(s), "patients", folder, cluster_by=("person_id",))
+
+
+def _study(s, *pollutants) -> dict[str, DataFrame]:
+    return study_plan.publish_study(
+        new_folder(s.spark), s.labs(), s.diagnoses(), PRIORITY_NAMES, s.person(), s.location(),
+        s.manifest(), s.visits(), s.death(), [s.climate(True), s.climate(False)], s.readings(),
+        crosswalk(s), s.monitor_pairs(), pollutants,
+    )
+
+
+@query
+def study_areas(s):
+    """From the source tables to published ones; then the places of people without a ZCTA."""
+    return area.unmatched_areas(_study(s)["places"])
+
+
+@query
+def study_air(s):
+    """The same; then the daily NO2 of each ZIP of the published cohort."""
+    return rounded(_study(s, NO2)["air_NO2"])
 
 
 # Visits
@@ -369,6 +423,11 @@ def flag_stays(s):
     return cohort_plan.visit_tables(s.visits(), _dates(s))[0]
 
 
+@query
+def cohort_other_visits(s):
+    return cohort_plan.visit_tables(s.visits(), _dates(s))[1]
+
+
 # Climate
 
 
@@ -383,7 +442,7 @@ def stack_years(s):
 
 @query
 def shared_zips(s):
-    return climate.shared_zips(s.people_zips(), s.climate(True))
+    return climate.shared_zips(s.people_zips(), _climate(s))
 
 
 @query
@@ -393,7 +452,7 @@ def climate_for_zips(s):
 
 @query
 def people_with_climate(s):
-    return climate.people_with_climate(s.people_zips(), s.climate(True))
+    return climate.people_with_climate(s.people_zips(), _climate(s))
 
 
 @query
@@ -403,7 +462,7 @@ def expand_lags(s):
 
 @query
 def climate_by_lag(s):
-    return environment.climate_by_lag(s.people_zips(), [s.climate(True)])
+    return environment.climate_by_lag(s.people_zips(), [s.climate(True), s.climate(False)])
 
 
 @query
@@ -475,6 +534,14 @@ def zcta_monitors(s):
     return area.zcta_monitors(s.monitor_pairs())
 
 
+@query
+def zcta_monitors_older(s):
+    plain = s.monitor_pairs().select(
+        F.col("ZCTA").alias("zcta"), F.col("Monitor_ID").alias("monitor")
+    )
+    return area.zcta_monitors(plain, older=True)
+
+
 @query
 def zcta_monitors_one(s):
     return area.zcta_monitors(s.monitor_pairs(), zcta="90003")
@@ -489,13 +556,18 @@ def nearby_monitors(s):
     return _nearby(s)
 
 
+@query
+def nearby_monitors_repeated(s):
+    return _nearby(s, dedupe=False)
+
+
 @query
 def monitors_with_data(s):
-    return area.monitors_with_data(s.readings(PM25), _nearby(s, dedupe=False))
+    return area.monitors_with_data(_selected(s, PM25), _nearby(s, dedupe=False))
 
 
 def _selected(s, kind) -> DataFrame:
-    return air.pollutant(s.mixed_readings(), kind.code, kind.keep)
+    return air.pollutant(s.readings(), kind.code, kind.keep)
 
 
 @query
@@ -520,24 +592,24 @@ def select_so2(s):
 
 @query
 def nullify_below(s):
-    return air.nullify_below(s.readings(PM25)).select(
+    return air.nullify_below(_selected(s, PM25)).select(
         "aqs_site_id", "DateLocal", "ArithmeticMean", "SampleDuration", "ObservationCount"
     )
 
 
 @query
 def best_reading(s):
-    return air.best_reading(air.nullify_below(s.readings(NO2)))
+    return air.best_reading(air.nullify_below(_selected(s, NO2)))
 
 
 @query
 def best_by_duration(s):
-    return air.best_by_duration(air.nullify_below(s.readings(SO2)), SO2.durations)
+    return air.best_by_duration(air.nullify_below(_selected(s, SO2)), SO2.durations)
 
 
 @query
 def daily_by_duration(s):
-    return air.daily_by_duration(air.nullify_below(s.readings(PM25)), PM25.durations)
+    return air.daily_by_duration(air.nullify_below(_selected(s, PM25)), PM25.durations)
 
 
 @query
@@ -546,7 +618,7 @@ def fill_calendar(s):
 
 
 def _daily(s, kind) -> DataFrame:
-    return air.daily_series(s.readings(kind), kind)
+    return air.daily_series(_selected(s, kind), kind)
 
 
 @query
@@ -576,7 +648,7 @@ def zip_readings(s):
 
 @query
 def zip_daily(s):
-    return rounded(air.zip_daily(air.zip_readings(_daily(s, PM25), _nearby(s)), PM25))
+    return rounded(air.zip_daily(air.zip_readings(_daily(s, PM25), _nearby(s, dedupe=False), dedupe=False), PM25))
 
 
 @query
@@ -593,7 +665,7 @@ def label_series(s):
 def _series(s, kind) -> DataFrame:
     return rounded(
         environment.pollutant_series(
-            s.readings(kind), s.people_zips(), crosswalk(s), s.monitor_pairs(), kind
+            s.readings(), s.people_zips(), crosswalk(s), s.monitor_pairs(), kind
         )
     )
 
@@ -625,26 +697,28 @@ def zip_series_pm25_older(s):
 
 @query
 def max_count_check(s):
-    return checks.max_count_check(s.readings(OZONE))
+    return checks.max_count_check(_selected(s, OZONE))
 
 
 @query
 def max_count_check_duration(s):
     return checks.max_count_check(
-        s.readings(SO2), ("aqs_site_id", "DateLocal", "SampleDuration")
+        _selected(s, SO2), ("aqs_site_id", "DateLocal", "SampleDuration")
     )
 
 
 @query
 def repeat_readings(s):
-    return checks.repeat_readings(s.readings(NO2))
+    return checks.repeat_readings(_selected(s, NO2))
 
 
 @query
 def repeat_readings_duration(s):
-    return checks.repeat_readings(s.readings(SO2), ("aqs_site_id", "DateLocal", "SampleDuration"))
+    return checks.repeat_readings(_selected(s, SO2), ("aqs_site_id", "DateLocal", "SampleDuration"))
 
 
 @query
 def compare_methods(s):
-    return checks.compare_methods(s.readings(SO2), 7, SO2.code, "1 HOUR", (5, 6, 7))
+    # Odd sites as one, so that days hold several readings.
+    odd = s.readings().withColumn("aqs_site_id", F.pmod("aqs_site_id", F.lit(2)))
+    return checks.compare_methods(odd, 1, SO2.code, "1 HOUR", (5, 6, 7))

@@ -9,43 +9,33 @@ from __future__ import annotations
 
 import re
 
-AREA_MEASURES = (
-    "African_American AIAN Asian NHPI White other_race two_or_more_races Hispanic_any_race "
-    "male female age_18_and_under age_18_and_over age_65plus"
-).split()
-
-RACES = (
-    "Black|African American|White|Asian or Pacific Islander|Asian Indian|"
-    "Asian|Filipino|Korean|Sri Lankan|Hmong|"
-    "Other Pacific Islander|Polynesian|Native Hawaiian|Micronesian|Melanesian|"
-    "Other Race|Multiple races|More than one|Barbadian|white|"
-    "Hispanic|Black or African|Vietnamese|Thai|Unknown"
-).split("|")
-
-ASIAN_PATTERN = (
-    "Asian|Filipino|Chinese|Korean|Vietnamese|Japanese|Bangladeshi|Pakistani|Nepalese|Laotian|"
-    "Taiwanese|Thai|Sri Lankan|Burmese|Okinawan|Cambodian|Bhutanese|Singaporean|Hmong|Malaysian|"
-    "Indonesian"
-)
-PACIFIC_PATTERN = "Pacific|Polynesian|Native Hawaiian|Micronesian|Melanesian"
+from cohortair.functions.demographics import ASIAN_TEXTS, PACIFIC_TEXTS
+from cohortair.settings import AREA_MEASURES, NO2, OZONE, PM25, SO2
+from workload.standins import RACES, READINGS
+
+def _by_pollutant(choices: dict) -> str:
+    """A CASE over the part types of each pollutant."""
+    listed = "".join(
+        f" WHEN p_type IN ({', '.join(map(repr, READINGS[kind][0]))}) THEN {value}"
+        for kind, value in choices.items()
+    )
+    return f"CASE{listed} END"
 
 
-def _readings(code: int, name: str, a: str, n: str, r: str) -> str:
-    return f"""
-    SELECT l_suppkey AS aqs_site_id, CAST(l_shipdate AS DATE) AS DateLocal,
-           round(l_discount * 100) - 2 AS ArithmeticMean,
-           CASE l_returnflag WHEN 'A' THEN '{a}' WHEN 'N' THEN '{n}' ELSE '{r}' END AS SampleDuration,
-           CASE WHEN l_tax > 0 THEN CASE WHEN l_linenumber > 4 THEN 24 ELSE l_linenumber END END
-               AS ObservationCount,
-           {code} AS ParameterCode, '{name}' AS ParameterName,
-           'Parts per billion' AS UnitsofMeasure, l_linenumber AS MethodCode,
-           'method ' || l_linenumber AS MethodName
-    FROM lineitem"""
+def _duration(labels: tuple) -> str:
+    return f"CASE l_returnflag WHEN 'A' THEN '{labels[0]}' WHEN 'N' THEN '{labels[1]}' ELSE '{labels[2]}' END"
+
+
+def _of(kind) -> str:
+    """Readings of one pollutant and its durations."""
+    kept = f" AND SampleDuration IN ({', '.join(map(repr, kind.keep))})" if kind.keep else ""
+    return f"SELECT * FROM s_readings WHERE ParameterCode = {kind.code}{kept}"
 
 
 def _valid(readings: str, limit: str = "0") -> str:
     return f"""
     SELECT aqs_site_id, DateLocal, SampleDuration, ObservationCount, MethodCode, MethodName,
+           ParameterName, ParameterCode, UnitsofMeasure,
            CASE WHEN NOT ArithmeticMean < {limit} THEN ArithmeticMean END AS ArithmeticMean
     FROM {readings}"""
 
@@ -90,8 +80,8 @@ def _race(older: bool) -> str:
         WHEN contains(race_concept_name, 'White') THEN 'White Non-Hispanic'
         WHEN race_concept_name = 'Asian or Pacific Islander' THEN 'Unknown'
         {indian}
-        WHEN regexp_matches(race_concept_name, '{ASIAN_PATTERN}') THEN 'Asian Non-Hispanic'
-        WHEN regexp_matches(race_concept_name, '{PACIFIC_PATTERN}')
+        WHEN regexp_matches(race_concept_name, '{"|".join(ASIAN_TEXTS)}') THEN 'Asian Non-Hispanic'
+        WHEN regexp_matches(race_concept_name, '{"|".join(PACIFIC_TEXTS)}')
             THEN 'Native Hawaiian or Other Pacific Islander Non-Hispanic'
         {other}
         ELSE 'UNKNOWN' END"""
@@ -128,8 +118,9 @@ def _trailing(source: str, site: str, value: str) -> str:
 
 
 def _zip_series(
-    daily: str, nearby: str, value: str, monitors: str, counts: dict, label: tuple | None, out: str
+    daily: str, nearby: str, value: str, monitors: str, counts: dict, counted: str, out: str
 ) -> str:
+    """`counted` are the readings that count; a ZIP has the smallest label of its monitors'."""
     sums = "".join(f", CAST(sum({c}) AS BIGINT) AS {n}" for c, n in counts.items())
     names = "".join(f", {n}" for n in counts.values())
     series = _trailing(
@@ -138,13 +129,15 @@ def _zip_series(
         "zip_code",
         "v",
     )
-    told = ""
-    if label:
-        name, code = label
-        told = f"""'{name}' AS ParameterName, {code} AS ParameterCode,
-                   'Parts per billion' AS UnitsofMeasure,"""
+    told, labels = "", ""
+    if counted:
+        told = "ParameterName, ParameterCode, UnitsofMeasure,"
+        labels = f"""JOIN (SELECT DISTINCT ON (zip_code) zip_code, ParameterName, ParameterCode, UnitsofMeasure
+            FROM ({counted}) JOIN {nearby} USING (aqs_site_id)
+            ORDER BY zip_code, ParameterName, ParameterCode, UnitsofMeasure) USING (zip_code)"""
     return f"""SELECT zip_code, date AS meas_date, {told} {_single("v")} AS {out}, num_monitors{names},
-        prev_30_day_avg, prev_30_days_w_obs, prev_365_day_avg, prev_365_days_w_obs FROM ({series})"""
+        prev_30_day_avg, prev_30_days_w_obs, prev_365_day_avg, prev_365_days_w_obs
+        FROM ({series}) {labels}"""
 
 
 DURATIONS_PM25 = (
@@ -210,7 +203,7 @@ TABLES = {
                 WHEN c_mktsegment <> 'FURNITURE' THEN 'Not Hispanic or Latino' END
                AS ethnicity_concept_name,
            CASE WHEN c_nationkey <> 24 THEN
-               ({RACES!r})[c_nationkey + 1] END AS race_concept_name,
+               ({list(RACES)!r})[c_nationkey + 1] END AS race_concept_name,
            CASE c_mktsegment WHEN 'MACHINERY' THEN 'Male' WHEN 'AUTOMOBILE' THEN 'FEMALE'
                WHEN 'HOUSEHOLD' THEN 'female' WHEN 'FURNITURE' THEN 'Ambiguous' END
                AS gender_concept_name,
@@ -257,9 +250,9 @@ TABLES = {
     )
     + " FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey",
     "s_crosswalk": """
-    SELECT CAST(n_nationkey + 10001 AS VARCHAR) AS ZIP_CODE, n_name AS PO_NAME,
-           CAST(n_regionkey + 90001 AS VARCHAR) AS ZCTA
-    FROM nation WHERE n_name <> 'NATION_4'""",
+    SELECT CASE WHEN n_name = 'NATION_4' THEN '99999' ELSE CAST(n_nationkey + 10001 AS VARCHAR) END
+               AS ZIP_CODE, n_name AS PO_NAME, CAST(n_regionkey + 90001 AS VARCHAR) AS ZCTA
+    FROM nation""",
     "s_update": """
     SELECT CAST(n_nationkey + 10001 AS VARCHAR) AS ZIP_CODE, n_name AS PO_NAME,
            CASE WHEN r_name = 'EUROPE' THEN '90001' ELSE CAST(n_regionkey + 90001 AS VARCHAR) END AS ZCTA
@@ -283,41 +276,54 @@ TABLES = {
     SELECT DISTINCT z.zip_code, x.ZCTA AS zcta, p.aqs_site_id, p.Distance_m, p.WithinZCTA
     FROM (SELECT DISTINCT zip_code FROM s_people) z
     JOIN s_zip_zcta x ON x.ZIP_CODE = z.zip_code JOIN s_pairs p ON p.zcta = x.ZCTA""",
+    "s_nearby_all": """
+    SELECT z.zip_code, x.ZCTA AS zcta, p.aqs_site_id, p.Distance_m, p.WithinZCTA
+    FROM (SELECT DISTINCT zip_code FROM s_people) z
+    JOIN s_zip_zcta x ON x.ZIP_CODE = z.zip_code JOIN s_pairs p ON p.zcta = x.ZCTA""",
     "s_climate_1": """
-    SELECT CAST(c_nationkey + 10001 AS VARCHAR) AS POSTCODE, CAST(o_orderdate AS DATE) AS Date,
+    SELECT CASE c_nationkey WHEN 11 THEN '99999' ELSE CAST(c_nationkey + 10001 AS VARCHAR) END AS POSTCODE,
+           CAST(o_orderdate AS DATE) AS Date,
            CAST(count(*) AS DOUBLE) AS MeanTemp, CAST(max(o_custkey) AS DOUBLE) AS Precip,
            CAST(min(CASE WHEN o_orderpriority < '4' THEN o_custkey END) AS DOUBLE) AS DewPoint
     FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_orderstatus = 'F' AND c_mktsegment <> 'MACHINERY' AND c_nationkey <> 11
+    WHERE o_orderstatus = 'F'
     GROUP BY c_nationkey, CAST(o_orderdate AS DATE)""",
     "s_climate_2": """
-    SELECT CAST(c_nationkey + 10001 AS VARCHAR) AS POSTCODE, CAST(o_orderdate AS DATE) AS Date,
+    SELECT CASE c_nationkey WHEN 11 THEN '99999' ELSE CAST(c_nationkey + 10001 AS VARCHAR) END AS POSTCODE,
+           CAST(o_orderdate AS DATE) AS Date,
            CAST(count(*) AS DOUBLE) AS MeanTemp, CAST(max(o_custkey) AS DOUBLE) AS Precip,
            CAST(min(CASE WHEN o_orderpriority < '4' THEN o_custkey END) AS DOUBLE) AS DewPoint
     FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_orderstatus <> 'F' AND c_mktsegment <> 'MACHINERY' AND c_nationkey <> 11
+    WHERE o_orderstatus <> 'F'
     GROUP BY c_nationkey, CAST(o_orderdate AS DATE)""",
     "s_climate": "SELECT * FROM s_climate_1 UNION ALL SELECT * FROM s_climate_2",
-    "s_mixed": """
+    "s_readings": f"""
     SELECT l_suppkey AS aqs_site_id, CAST(l_shipdate AS DATE) AS DateLocal,
-           round(l_discount * 100) - 2 AS ArithmeticMean, 'Parts per billion' AS UnitsofMeasure,
-           CASE l_returnflag WHEN 'A' THEN '1 HOUR' WHEN 'N' THEN '8-HR RUN AVG BEGIN HOUR'
-                ELSE '3-HR BLK AVG' END AS SampleDuration,
-           l_linenumber AS ObservationCount,
-           CASE p_type WHEN 'STANDARD' THEN 42602 WHEN 'PROMO' THEN 44201 WHEN 'ECONOMY' THEN 88101
-                ELSE 42401 END AS ParameterCode,
-           p_type AS ParameterName, p_brand AS CityName, 'State' AS StateName,
-           CAST(0 AS DOUBLE) AS Latitude, CAST(0 AS DOUBLE) AS Longitude
+           round(l_discount * 100) - 2 AS ArithmeticMean,
+           CASE WHEN l_linenumber > 5 THEN 'ppb' ELSE 'Parts per billion' END AS UnitsofMeasure,
+           {_by_pollutant({k: _duration(v[1]) for k, v in READINGS.items()})} AS SampleDuration,
+           CASE WHEN l_tax > 0 THEN CASE WHEN l_linenumber > 4 THEN 24 ELSE l_linenumber END END
+               AS ObservationCount,
+           {_by_pollutant({k: k.code for k in READINGS})} AS ParameterCode,
+           {_by_pollutant({k: repr(k.name) for k in READINGS})}
+               || CASE WHEN l_linenumber > 3 THEN ' (local)' ELSE '' END AS ParameterName,
+           p_brand AS CityName, 'State' AS StateName, CAST(0 AS DOUBLE) AS Latitude,
+           CAST(0 AS DOUBLE) AS Longitude, l_linenumber AS MethodCode,
+           'method ' || l_linenumber AS MethodName
     FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "s_no2": _readings(42602, "NO2", "1 HOUR", "1 HOUR", "1 HOUR"),
-    "s_so2": _readings(42401, "SO2", "1 HOUR", "3-HR BLK AVG", "1 HOUR"),
-    "s_pm25": _readings(88101, "PM2.5", "24 HOUR", "24-HR BLK AVG", "1 HOUR"),
+    "s_no2": _of(NO2),
+    "s_ozone": _of(OZONE),
+    "s_so2": _of(SO2),
+    "s_pm25": _of(PM25),
+    "s_ozone_valid": _valid("s_ozone"),
     "s_no2_valid": _valid("s_no2"),
     "s_so2_valid": _valid("s_so2"),
     "s_pm25_valid": _valid("s_pm25"),
     "s_pm25_valid_older": _valid("s_pm25", "0.00001"),
     "s_best": _best("s_no2_valid"),
     "s_best_daily": _calendar("s_best", "d.measurement"),
+    "s_ozone_best": _best("s_ozone_valid"),
+    "s_ozone_daily": _calendar("s_ozone_best", "d.measurement"),
     "s_so2_best": """
     SELECT aqs_site_id, DateLocal, SampleDuration, avg(ArithmeticMean) AS m
     FROM (SELECT *, max(ObservationCount) OVER
@@ -440,6 +446,21 @@ TABLES = {
     FROM (SELECT *, row_number() OVER (PARTITION BY person_id
                  ORDER BY macrovisit_start_date, macrovisit_id) AS n
           FROM r_stay_starts WHERE first_minus BETWEEN -16 AND 1) WHERE n = 1""",
+    "r_er_both": """
+    SELECT person_id, min(visit_start_date) AS first_covid_er_only_start_date FROM r_er_visits
+    WHERE lab_minus BETWEEN -16 AND 1 AND lab_minus_diag BETWEEN -16 AND 1 GROUP BY person_id""",
+    "r_stays_both": """
+    SELECT person_id, macrovisit_id,
+           macrovisit_start_date AS first_COVID_hospitalization_start_date,
+           macrovisit_end_date AS first_COVID_hospitalization_end_date
+    FROM (SELECT *, row_number() OVER (PARTITION BY person_id
+                 ORDER BY macrovisit_start_date, macrovisit_id) AS n
+          FROM r_stay_starts
+          WHERE lab_minus BETWEEN -16 AND 1 AND lab_minus_diag BETWEEN -16 AND 1) WHERE n = 1""",
+    "r_study_nearby": f"""
+    SELECT DISTINCT z.zip_code, x.ZCTA AS zcta, p.aqs_site_id, p.Distance_m, p.WithinZCTA
+    FROM (SELECT DISTINCT {_zip()} AS zip_code FROM r_located) z
+    JOIN s_zip_zcta x ON x.ZIP_CODE = z.zip_code JOIN s_pairs p ON p.zcta = x.ZCTA""",
     "r_merged": """
     SELECT * FROM r_all LEFT JOIN r_stays_either USING (person_id)""",
     "r_first_stay": """
@@ -467,9 +488,9 @@ TABLES = {
            CAST(first_pos_pcr_antigen_date + CAST(time_lag AS INT) AS DATE) AS lag_dates,
            c.Date AS climate_measure_date, MeanTemp, Precip, DewPoint
     FROM s_people p CROSS JOIN (SELECT unnest(range(-45, 46)) AS time_lag)
-    LEFT JOIN s_climate_1 c ON c.POSTCODE = p.zip_code
+    LEFT JOIN s_climate c ON c.POSTCODE = p.zip_code
          AND c.Date = first_pos_pcr_antigen_date + CAST(time_lag AS INT)
-    WHERE p.zip_code IN (SELECT POSTCODE FROM s_climate_1)""",
+    WHERE p.zip_code IN (SELECT POSTCODE FROM s_climate)""",
     "r_unmatched": """
     SELECT DISTINCT zip_code FROM s_people
     WHERE zip_code IS NULL OR zip_code NOT IN (SELECT POSTCODE FROM s_climate)""",
@@ -491,10 +512,49 @@ DAILY_PM25_COLUMNS = (
 )
 SELECTED = """SELECT aqs_site_id, DateLocal, ArithmeticMean, UnitsofMeasure, SampleDuration,
     ObservationCount, ParameterCode, ParameterName, CityName, StateName, Latitude, Longitude
-    FROM s_mixed WHERE ParameterCode = """
+    FROM s_readings WHERE ParameterCode = """
 VISIT_COLUMNS = """person_id, macrovisit_id, visit_occurrence_id, visit_concept_id, visit_concept_name,
     visit_start_date, visit_end_date, macrovisit_start_date, macrovisit_end_date"""
 
+def _person_fact() -> str:
+    return f"""
+    SELECT l.*, s.* EXCLUDE (person_id, first_pos_pcr_antigen_date), d.death_date,
+           CASE WHEN d.death_date IS NULL THEN 0 ELSE 1 END AS death_recorded, date_of_birth,
+           CASE WHEN a >= 0 THEN a END AS age_at_first_covid_diag, {_gender()} AS gender,
+           {_race(False)} AS race_ethnicity, {_zip()} AS zip_code
+    FROM r_located l
+    JOIN (SELECT person_id, date_of_birth, {_full_years("first_pos_pcr_antigen_date")} AS a
+          FROM (SELECT *, {BORN} AS date_of_birth FROM r_located)) b ON b.person_id = l.person_id
+    JOIN r_first_stay s ON s.person_id = l.person_id
+    LEFT JOIN r_latest_death d ON d.person_id = l.person_id"""
+
+
+def _person_fact_older(stays: str = "r_stays_either", er: str = "r_er_either") -> str:
+    told, joined = "", ""
+    if er:
+        told = "first_covid_er_only_start_date,"
+        joined = f"LEFT JOIN {er} e ON e.person_id = l.person_id"
+    return f"""
+    SELECT l.*, coalesce(standard, 0) AS standard, coalesce(promo, 0) AS promo,
+           coalesce(economy, 0) AS economy, coalesce(large, 0) AS large,
+           macrovisit_id, first_COVID_hospitalization_start_date,
+           first_COVID_hospitalization_end_date, {told} death_date, cause,
+           date_of_birth, a AS age_at_first_covid_diag, {_gender()} AS gender,
+           {_race(True)} AS race_ethnicity, {_zip()} AS zip_code
+    FROM r_located_older l
+    JOIN (SELECT person_id, date_of_birth, {_full_years("first_poslab_or_diagnosis_date")} AS a
+          FROM (SELECT *, {BORN} AS date_of_birth FROM r_located_older)) b ON b.person_id = l.person_id
+    LEFT JOIN (SELECT person_id, max(CASE WHEN column_name = 'standard' THEN 1 ELSE 0 END) AS standard,
+                      max(CASE WHEN column_name = 'promo' THEN 1 ELSE 0 END) AS promo,
+                      max(CASE WHEN column_name = 'economy' THEN 1 ELSE 0 END) AS economy,
+                      max(CASE WHEN column_name = 'large' THEN 1 ELSE 0 END) AS large
+               FROM s_conditions JOIN r_condition_codes ON concept_id = condition_concept_id
+               WHERE condition_start_date IS NOT NULL GROUP BY person_id) f ON f.person_id = l.person_id
+    LEFT JOIN {stays} s ON s.person_id = l.person_id
+    {joined}
+    LEFT JOIN s_death d ON d.person_id = l.person_id"""
+
+
 ORACLES = {
     "code_set": "SELECT DISTINCT * FROM s_codes WHERE concept_set_name IN ('STANDARD', 'PROMO')",
     "tag_positive": """
@@ -534,6 +594,9 @@ ORACLES = {
     SELECT person_id, condition_start_date, concept_set_name,
            CASE WHEN concept_set_name = '3-MEDIUM' THEN 'Condition Diagnosis' ELSE 'Other Condition' END
     FROM s_diagnoses""",
+    "positive_dates": """
+    SELECT person_id, covid_date, '1-URGENT' AS concept_set_name,
+           'PCR or Antigen Test' AS covid_event_type FROM r_dates""",
     "positive_gaps": """
     SELECT person_id, covid_date, CAST(datediff('day', lag(covid_date) OVER
            (PARTITION BY person_id ORDER BY covid_date), covid_date) AS INT) AS days_since_pos_pcr_antigen
@@ -644,35 +707,20 @@ ORACLES = {
     "stay_detail": f"SELECT {VISIT_COLUMNS} FROM s_visits WHERE macrovisit_id = 7",
     "person_stays": f"""
     SELECT {VISIT_COLUMNS} FROM s_visits WHERE macrovisit_id IS NOT NULL AND person_id = 7""",
-    "person_fact": f"""
-    SELECT l.*, s.* EXCLUDE (person_id, first_pos_pcr_antigen_date), d.death_date,
-           CASE WHEN d.death_date IS NULL THEN 0 ELSE 1 END AS death_recorded, date_of_birth,
-           CASE WHEN a >= 0 THEN a END AS age_at_first_covid_diag, {_gender()} AS gender,
-           {_race(False)} AS race_ethnicity, {_zip()} AS zip_code
-    FROM r_located l
-    JOIN (SELECT person_id, date_of_birth, {_full_years("first_pos_pcr_antigen_date")} AS a
-          FROM (SELECT *, {BORN} AS date_of_birth FROM r_located)) b ON b.person_id = l.person_id
-    JOIN r_first_stay s ON s.person_id = l.person_id
-    LEFT JOIN r_latest_death d ON d.person_id = l.person_id""",
-    "person_fact_older": f"""
-    SELECT l.*, coalesce(standard, 0) AS standard, coalesce(promo, 0) AS promo,
-           coalesce(economy, 0) AS economy, coalesce(large, 0) AS large,
-           macrovisit_id, first_COVID_hospitalization_start_date,
-           first_COVID_hospitalization_end_date, first_covid_er_only_start_date, death_date, cause,
-           date_of_birth, a AS age_at_first_covid_diag, {_gender()} AS gender,
-           {_race(True)} AS race_ethnicity, {_zip()} AS zip_code
-    FROM r_located_older l
-    JOIN (SELECT person_id, date_of_birth, {_full_years("first_poslab_or_diagnosis_date")} AS a
-          FROM (SELECT *, {BORN} AS date_of_birth FROM r_located_older)) b ON b.person_id = l.person_id
-    LEFT JOIN (SELECT person_id, max(CASE WHEN column_name = 'standard' THEN 1 ELSE 0 END) AS standard,
-                      max(CASE WHEN column_name = 'promo' THEN 1 ELSE 0 END) AS promo,
-                      max(CASE WHEN column_name = 'economy' THEN 1 ELSE 0 END) AS economy,
-                      max(CASE WHEN column_name = 'large' THEN 1 ELSE 0 END) AS large
-               FROM s_conditions JOIN r_condition_codes ON concept_id = condition_concept_id
-               WHERE condition_start_date IS NOT NULL GROUP BY person_id) f ON f.person_id = l.person_id
-    LEFT JOIN r_stays_either s ON s.person_id = l.person_id
-    LEFT JOIN r_er_either e ON e.person_id = l.person_id
-    LEFT JOIN s_death d ON d.person_id = l.person_id""",
+    "person_fact": _person_fact(),
+    "person_fact_sample": f"""
+    SELECT * FROM ({_person_fact()})
+    WHERE ('0x' || left(md5('111:' || person_id), 8))::BIGINT / 4294967296.0 < 0.3""",
+    "person_fact_older": _person_fact_older(),
+    "person_fact_older_both": _person_fact_older("r_stays_both", "r_er_both"),
+    "person_fact_older_no_er": _person_fact_older(er=""),
+    "study_areas": f"""
+    SELECT DISTINCT city, state, zip, ZCTA FROM (SELECT *, {_zip()} AS z FROM r_located)
+    LEFT JOIN s_zip_zcta ON ZIP_CODE = z WHERE ZCTA IS NULL""",
+    "study_air": _zip_series(
+        "s_best_daily", "r_study_nearby", "measurement", "count(measurement)", {},
+        "SELECT * FROM s_no2 WHERE ObservationCount IS NOT NULL", "measurement_avg",
+    ),
     "publish_cohort": "SELECT * FROM r_all",
     "positive_lab_dates": """
     SELECT person_id, covid_date, '1-URGENT' AS concept_set_name,
@@ -684,6 +732,9 @@ ORACLES = {
     "other_visits": """
     SELECT * EXCLUDE (macrovisit_id, macrovisit_start_date, macrovisit_end_date)
     FROM s_visits WHERE macrovisit_id IS NULL""",
+    "cohort_other_visits": """
+    SELECT * EXCLUDE (macrovisit_id, macrovisit_start_date, macrovisit_end_date)
+    FROM r_cohort_visits WHERE macrovisit_id IS NULL""",
     "flag_stays": """
     SELECT s.person_id, s.macrovisit_id, CASE WHEN h.d IS NULL THEN 0 ELSE 1 END AS covid_associated_hosp,
            h.d AS poslab_date, s.macrovisit_start_date, s.macrovisit_end_date, s.data_partner_id
@@ -698,13 +749,13 @@ ORACLES = {
          ON h.macrovisit_id = s.macrovisit_id""",
     "stack_years": "SELECT * FROM s_climate",
     "shared_zips": """
-    SELECT DISTINCT POSTCODE FROM s_climate_1 JOIN s_people ON zip_code = POSTCODE""",
+    SELECT DISTINCT POSTCODE FROM s_climate JOIN s_people ON zip_code = POSTCODE""",
     "climate_for_zips": """
     SELECT POSTCODE, MeanTemp, Precip, DewPoint, Date FROM s_climate
-    WHERE POSTCODE IN (SELECT zip_code FROM s_people JOIN s_climate_1 ON zip_code = POSTCODE)""",
+    WHERE POSTCODE IN (SELECT zip_code FROM s_people JOIN s_climate ON zip_code = POSTCODE)""",
     "people_with_climate": """
     SELECT person_id, zip_code, first_pos_pcr_antigen_date FROM s_people
-    WHERE zip_code IN (SELECT POSTCODE FROM s_climate_1)""",
+    WHERE zip_code IN (SELECT POSTCODE FROM s_climate)""",
     "expand_lags": """
     SELECT s_people.*, CAST(time_lag AS INT) AS time_lag,
            CAST(first_pos_pcr_antigen_date + CAST(time_lag AS INT) AS DATE) AS lag_dates
@@ -738,7 +789,9 @@ ORACLES = {
     LEFT JOIN s_zip_zcta x ON x.ZIP_CODE = p.zip_code""",
     "zcta_monitors": "SELECT * FROM s_pairs",
     "zcta_monitors_one": "SELECT * FROM s_pairs WHERE zcta = '90003'",
+    "zcta_monitors_older": "SELECT zcta, aqs_site_id FROM s_pairs",
     "nearby_monitors": "SELECT * FROM s_nearby",
+    "nearby_monitors_repeated": "SELECT * FROM s_nearby_all",
     "monitors_with_data": """
     SELECT DISTINCT aqs_site_id FROM s_nearby WHERE aqs_site_id IN (SELECT aqs_site_id FROM s_pm25)""",
     "select_no2": SELECTED + "42602 AND SampleDuration = '1 HOUR'",
@@ -751,7 +804,7 @@ ORACLES = {
     "best_by_duration": "SELECT * FROM s_so2_merged",
     "daily_by_duration": "SELECT * FROM s_pm25_merged",
     "fill_calendar": "SELECT aqs_site_id, date AS DateLocal, measurement FROM s_best_daily",
-    "daily_best": "SELECT aqs_site_id, date, measurement FROM s_best_daily",
+    "daily_best": "SELECT aqs_site_id, date, measurement FROM s_ozone_daily",
     "daily_pick": f"SELECT {DAILY_PM25_COLUMNS} FROM s_pm25_daily",
     "daily_pick_so2": "SELECT aqs_site_id, date, "
     + "".join(
@@ -766,7 +819,7 @@ ORACLES = {
            count(measurement_avg) AS num_monitors, CAST(sum(measurement_24hr) AS BIGINT) AS num_24hr_obs,
            CAST(sum(measurement_24hr_blk_avg) AS BIGINT) AS num_24hrblk_obs,
            CAST(sum(measurement_01hr) AS BIGINT) AS num_01hr_obs
-    FROM s_pm25_daily JOIN s_nearby USING (aqs_site_id) GROUP BY zip_code, date""",
+    FROM s_pm25_daily JOIN s_nearby_all USING (aqs_site_id) GROUP BY zip_code, date""",
     "trailing": f"SELECT aqs_site_id, date, {_single('measurement')} AS measurement_avg, "
     "prev_30_day_avg, prev_30_days_w_obs, prev_365_day_avg, prev_365_days_w_obs FROM ("
     + _trailing("s_best_daily", "aqs_site_id", "measurement")
@@ -774,34 +827,35 @@ ORACLES = {
     "label_series": """
     SELECT zip_code, ParameterName, ParameterCode, UnitsofMeasure
     FROM (SELECT DISTINCT zip_code FROM s_people) CROSS JOIN
-         (SELECT ParameterName, ParameterCode, UnitsofMeasure FROM s_mixed WHERE ParameterCode = 42401
+         (SELECT ParameterName, ParameterCode, UnitsofMeasure FROM s_readings WHERE ParameterCode = 42401
           AND SampleDuration IN ('1 HOUR', '3-HR BLK AVG')
           ORDER BY ParameterName, ParameterCode, UnitsofMeasure LIMIT 1)""",
     "zip_series_no2": _zip_series(
-        "s_best_daily", "s_nearby", "measurement", "count(measurement)", {}, ("NO2", 42602),
-        "measurement_avg",
+        "s_best_daily", "s_nearby", "measurement", "count(measurement)", {},
+        "SELECT * FROM s_no2 WHERE ObservationCount IS NOT NULL", "measurement_avg",
     ),
     "zip_series_ozone": _zip_series(
-        "s_best_daily", "s_nearby", "measurement", "count(measurement)", {}, ("ozone", 44201),
-        "measurement_avg",
+        "s_ozone_daily", "s_nearby", "measurement", "count(measurement)", {},
+        "SELECT * FROM s_ozone WHERE ObservationCount IS NOT NULL", "measurement_avg",
     ),
     "zip_series_pm25": _zip_series(
-        "s_pm25_daily", "s_nearby", "measurement_avg", "count(measurement_avg)", PM25_COUNTS,
-        ("PM2.5", 88101), "measurement_avg",
+        "s_pm25_daily", "s_nearby_all", "measurement_avg", "count(measurement_avg)", PM25_COUNTS,
+        "SELECT * FROM s_pm25 WHERE SampleDuration <> '1 HOUR' OR ObservationCount = 24",
+        "measurement_avg",
     ),
     "zip_series_so2": _zip_series(
         "s_so2_daily", "s_nearby", "measurement_monitor_day",
         "CAST(sum(measurement_01hr) + sum(measurement_03hrblk) AS BIGINT)", SO2_COUNTS,
-        ("SO2", 42401), "measurement_avg",
+        "SELECT * FROM s_so2 WHERE ObservationCount IS NOT NULL", "measurement_avg",
     ),
     "zip_series_pm25_older": _zip_series(
-        "s_pm25_daily_older", "s_nearby", "measurement_avg", "count(*)", PM25_COUNTS, None,
+        "s_pm25_daily_older", "s_nearby_all", "measurement_avg", "count(*)", PM25_COUNTS, "",
         "pm25_meas_avg",
     ),
     "max_count_check": """
     SELECT aqs_site_id, DateLocal, ObservationCount, ArithmeticMean,
            max(ObservationCount) OVER (PARTITION BY aqs_site_id, DateLocal) AS maxObservationCount
-    FROM s_no2_valid""",
+    FROM s_ozone_valid""",
     "max_count_check_duration": """
     SELECT aqs_site_id, DateLocal, SampleDuration, ObservationCount, ArithmeticMean,
            max(ObservationCount) OVER (PARTITION BY aqs_site_id, DateLocal, SampleDuration)
@@ -816,7 +870,7 @@ ORACLES = {
     SELECT MethodName, MethodCode, avg(ArithmeticMean) AS Measurement_Average
     FROM (SELECT *, count(*) OVER d AS n, avg(ObservationCount) OVER d AS mean,
                  max(ObservationCount) OVER d AS top
-          FROM s_so2_valid WHERE aqs_site_id = 7 AND SampleDuration = '1 HOUR'
+          FROM s_so2_valid WHERE aqs_site_id % 2 = 1 AND SampleDuration = '1 HOUR'
           WINDOW d AS (PARTITION BY DateLocal))
     WHERE n > 1 AND mean = top AND MethodCode IN (5, 6, 7) GROUP BY ALL""",
 }

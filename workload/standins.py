@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortair.settings import AREA_MEASURES, CodeSetNames, Pollutant
+from cohortair.settings import AREA_MEASURES, NO2, OZONE, PM25, SO2, CodeSetNames
 from cohortair.sources.tables import read_table
 
 # Part types stand for code sets.
@@ -20,9 +20,8 @@ NAMES = CodeSetNames(
 PRIORITY_NAMES = CodeSetNames(
     pcr_antigen="1-URGENT", antibody="2-HIGH", diagnosis="3-MEDIUM", positive_result="5-LOW"
 )
-CONDITIONS = ("standard", "promo", "economy", "large")
 
-# Race texts by nation; 25 nations, so every rule is met.
+# Race texts by nation; 25 nations, so every rule is met.
 RACES = (
     "Black", "African American", "White", "Asian or Pacific Islander", "Asian Indian",
     "Asian", "Filipino", "Korean", "Sri Lankan", "Hmong",
@@ -31,6 +30,14 @@ RACES = (
     "Hispanic", "Black or African", "Vietnamese", "Thai", "Unknown",
 )
 
+# Part types and sample durations (by return flag) of each pollutant's readings.
+READINGS = {
+    NO2: (("STANDARD",), ("1 HOUR", "1 HOUR", "3-HR BLK AVG")),
+    OZONE: (("PROMO",), ("8-HR RUN AVG BEGIN HOUR", "8-HR RUN AVG BEGIN HOUR", "1 HOUR")),
+    PM25: (("ECONOMY",), ("24 HOUR", "24-HR BLK AVG", "1 HOUR")),
+    SO2: (("LARGE", "MEDIUM", "SMALL"), ("1 HOUR", "3-HR BLK AVG", "24 HOUR")),
+}
+
 
 class Study:
     """The study tables of one folder."""
@@ -194,8 +201,10 @@ class Study:
 
     def scores(self) -> DataFrame:
         balance = F.col("c_acctbal")
-        return self.table("customer").where(balance > 0).select(
-            F.col("c_custkey").alias("person_id"),
+        # Scores of people with debts belong to people who are in no other table.
+        person = F.when(balance > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+        return self.table("customer").select(
+            person.alias("person_id"),
             F.col("c_mktsegment").alias("Severity_Type"),
             F.col("c_nationkey").alias("data_partner_id"),
             F.to_date(F.lit("2020-05-01")).alias("visit_start_date"),
@@ -238,8 +247,11 @@ class Study:
         )
 
     def crosswalk_base(self) -> DataFrame:
-        return self.table("nation").where("n_name <> 'NATION_4'").select(
-            (F.col("n_nationkey") + 10001).cast("string").alias("ZIP_CODE"),
+        # One nation's ZIP is nobody's, and so its people's ZIP has no ZCTA.
+        return self.table("nation").select(
+            F.when(F.col("n_name") == "NATION_4", "99999")
+            .otherwise((F.col("n_nationkey") + 10001).cast("string"))
+            .alias("ZIP_CODE"),
             F.col("n_name").alias("PO_NAME"),
             (F.col("n_regionkey") + 90001).cast("string").alias("ZCTA"),
         )
@@ -290,15 +302,19 @@ class Study:
         )
 
     def climate(self, shipped: bool) -> DataFrame:
-        """Daily order totals per nation; of shipped orders or of the others."""
+        """Daily order totals per nation; of shipped orders or of the others.
+
+        One nation's totals stand under a ZIP that is nobody's.
+        """
         wanted = F.col("o_orderstatus") == "F"
         return (
             self.table("orders")
             .where(wanted if shipped else ~wanted)
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .where("c_mktsegment <> 'MACHINERY' AND c_nationkey <> 11")
             .groupBy(
-                (F.col("c_nationkey") + 10001).cast("string").alias("POSTCODE"),
+                F.when(F.col("c_nationkey") == 11, "99999")
+                .otherwise((F.col("c_nationkey") + 10001).cast("string"))
+                .alias("POSTCODE"),
                 F.col("o_orderdate").cast("date").alias("Date"),
             )
             .agg(
@@ -310,41 +326,22 @@ class Study:
             )
         )
 
-    def readings(self, kind: Pollutant) -> DataFrame:
-        """All lines as readings of one pollutant.
+    def readings(self) -> DataFrame:
+        """Lines as readings of the pollutant their part type stands for.
 
-        Return flags stand for sample durations, line numbers for observation
-        counts (24 for the highest), discounts in cents less two for values.
+        Return flags stand for the pollutant's sample durations and one of
+        another, line numbers for observation counts (24 for the highest) and
+        for methods, discounts in cents less two for values; each pollutant is
+        spelt in two ways.
         """
-        labels = [d.label for d in kind.durations] or list(kind.keep)
-        labels = (labels * 3)[:3]
-        flag = F.col("l_returnflag")
-        return self.table("lineitem").select(
-            F.col("l_suppkey").alias("aqs_site_id"),
-            F.col("l_shipdate").cast("date").alias("DateLocal"),
-            (F.round(F.col("l_discount") * 100) - 2 + 0.0).alias("ArithmeticMean"),
-            F.lit("Parts per billion").alias("UnitsofMeasure"),
-            F.when(flag == "A", labels[0])
-            .when(flag == "N", labels[1])
-            .otherwise(labels[2])
-            .alias("SampleDuration"),
-            F.when(
-                F.col("l_tax") > 0,
-                F.when(F.col("l_linenumber") > 4, 24).otherwise(F.col("l_linenumber")),
-            ).alias("ObservationCount"),
-            F.lit(kind.code).alias("ParameterCode"),
-            F.lit(kind.name).alias("ParameterName"),
-            F.lit("City").alias("CityName"),
-            F.lit("State").alias("StateName"),
-            F.lit(0.0).alias("Latitude"),
-            F.lit(0.0).alias("Longitude"),
-            F.col("l_linenumber").alias("MethodCode"),
-            F.concat(F.lit("method "), F.col("l_linenumber").cast("string")).alias("MethodName"),
-        )
-
-    def mixed_readings(self) -> DataFrame:
-        """Lines as readings of the pollutant their part type stands for."""
-        kind = F.col("p_type")
+        type_, flag, line = F.col("p_type"), F.col("l_returnflag"), F.col("l_linenumber")
+        code, name, duration = (F.when(F.lit(False), None) for _ in range(3))
+        for kind, (types, labels) in READINGS.items():
+            of_kind = type_.isin(*types)
+            label = F.when(flag == "A", labels[0]).when(flag == "N", labels[1]).otherwise(labels[2])
+            code = code.when(of_kind, kind.code)
+            name = name.when(of_kind, F.concat(F.lit(kind.name), F.when(line > 3, " (local)").otherwise("")))
+            duration = duration.when(of_kind, label)
         return (
             self.table("lineitem")
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -352,21 +349,18 @@ class Study:
                 F.col("l_suppkey").alias("aqs_site_id"),
                 F.col("l_shipdate").cast("date").alias("DateLocal"),
                 (F.round(F.col("l_discount") * 100) - 2 + 0.0).alias("ArithmeticMean"),
-                F.lit("Parts per billion").alias("UnitsofMeasure"),
-                F.when(F.col("l_returnflag") == "A", "1 HOUR")
-                .when(F.col("l_returnflag") == "N", "8-HR RUN AVG BEGIN HOUR")
-                .otherwise("3-HR BLK AVG")
-                .alias("SampleDuration"),
-                F.col("l_linenumber").alias("ObservationCount"),
-                F.when(kind == "STANDARD", 42602)
-                .when(kind == "PROMO", 44201)
-                .when(kind == "ECONOMY", 88101)
-                .otherwise(42401)
-                .alias("ParameterCode"),
-                kind.alias("ParameterName"),
+                F.when(line > 5, "ppb").otherwise("Parts per billion").alias("UnitsofMeasure"),
+                duration.alias("SampleDuration"),
+                F.when(F.col("l_tax") > 0, F.when(line > 4, 24).otherwise(line)).alias(
+                    "ObservationCount"
+                ),
+                code.alias("ParameterCode"),
+                name.alias("ParameterName"),
                 F.col("p_brand").alias("CityName"),
                 F.lit("State").alias("StateName"),
                 F.lit(0.0).alias("Latitude"),
                 F.lit(0.0).alias("Longitude"),
+                line.alias("MethodCode"),
+                F.concat(F.lit("method "), line.cast("string")).alias("MethodName"),
             )
         )
