@@ -1,4 +1,8 @@
-"""From code lists and events to the base cohort, person facts and visits."""
+"""From code lists and events to the base cohort, person facts and visits.
+
+People, stays, deaths and scores are joined by person. Adaptive execution splits
+a person with very many rows there; `sources.session.tune` turns that on.
+"""
 
 from __future__ import annotations
 
