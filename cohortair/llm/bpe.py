@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 # What a task keeps at most of what it has worked out; the rest is worked out again.
-MOVES_KEPT = 500_000
-PAIRS_KEPT = 1_000_000
+MOVES_KEPT = 200_000
+PAIRS_KEPT = 400_000
 LAST = float("inf")
 
 

@@ -19,6 +19,7 @@ from cohortair.sources.tables import shared_folder
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 SHIPPED: dict[str, str] = {}
+KEPT: dict[str, Callable[[], None]] = {}
 
 
 def store(df: DataFrame) -> DataFrame:
@@ -60,6 +61,18 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def keeps(owner: str, forget: Callable[[], None]) -> None:
+    """Names what empties an operator's tables in a Python worker."""
+    KEPT[owner] = forget
+
+
+def only(owner: str) -> None:
+    """Empties what other operators keep in this Python worker, which may outlive their stages."""
+    for name, forget in KEPT.items():
+        if name != owner:
+            forget()
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that the table doesn't have yet."""
     taken = {c.lower() for c in df.columns}
@@ -104,7 +117,10 @@ def map_texts(
     names = [f.name for f in schema.fields]
     types = [to_arrow_type(f.dataType) for f in fields]
 
+    owner = function.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(owner)
         work = function()
         for batch in batches:
             for piece in range(0, batch.num_rows, 2000):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from regex import compile as pattern
 
-from cohortair.llm.common import free_name, map_texts, ship, slices
+from cohortair.llm.common import free_name, map_texts, only, ship, slices
 
 ORDER = 3
 UNKNOWN = "und"
@@ -164,6 +164,7 @@ def train(docs: DataFrame, per_language: int = 4000) -> Trees:
     chosen = rows.where(hashed < share).select(number.alias("language"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         for batch in batches:
             owners = batch.column(0).to_numpy()
             texts = batch.column(1).to_pylist()

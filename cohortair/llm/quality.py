@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortair.llm.common import crc_fold, free_name, map_texts, ship, slices
+from cohortair.llm.common import crc_fold, free_name, map_texts, only, ship, slices
 from cohortair.operators.joins import broadcast_if_small
 
 WORDS, SHAPES, SIZE = 8192, 1024, 32
@@ -125,6 +125,7 @@ def learn_vectors(docs: DataFrame) -> np.ndarray:
     names = [f"v{i}" for i in range(SIZE)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         reader, index, sums = Reader(), index_vectors(), np.zeros((ROWS, SIZE))
         for batch in batches:
             texts = batch.column(0).to_pylist()

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortair.llm.bpe import Vocabulary
-from cohortair.llm.common import map_texts
+from cohortair.llm.common import keeps, map_texts
 
 SPACE = "▁"
 SEGMENT = pattern(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-SEGMENTS_KEPT = 1_000_000
+# Segments of each of two generations: those of the older one stay if they are met again.
+SEGMENTS_KEPT = 300_000
 LONGEST_KEPT = 48
 NOT_UTF8 = "�"
 
@@ -53,6 +54,7 @@ class Pieces:
         self.real = set(self.ids.values())
         self.is_byte = np.array(raw)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def last_tokens(self, segment: str) -> list[str]:
         """The last token of the encoding of each prefix; there is exactly one.
@@ -83,6 +85,9 @@ class Pieces:
     def packed(self, segment: str) -> bytes:
         """Ids of a segment as little-endian 32-bit integers."""
         found = self.known.get(segment)
+        if found is not None:
+            return found
+        found = self.older.get(segment)
         if found is None:
             ids: list[int] = []
             for token in self.tokens(segment):
@@ -92,10 +97,10 @@ class Pieces:
                 else:
                     ids.append(known)
             found = pack(f"<{len(ids)}I", *ids)
-            if len(segment) <= LONGEST_KEPT:
-                if len(self.known) > SEGMENTS_KEPT:
-                    self.known = {}
-                self.known[segment] = found
+        if len(segment) <= LONGEST_KEPT:
+            if len(self.known) > SEGMENTS_KEPT:
+                self.known, self.older = {}, self.known
+            self.known[segment] = found
         return found
 
     def encode(self, text: str) -> bytes:
@@ -158,6 +163,9 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
+keeps(__name__, load.cache_clear)
+
+
 def encode_decode(docs: DataFrame, path: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Key columns, ids (array of integers) and decoded of every row.
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from regex import compile as pattern
 
 from cohortair.llm.bpe import Vocabulary
-from cohortair.llm.common import map_texts
+from cohortair.llm.common import keeps, map_texts
 
 # The splitting pattern of byte-level BPE knows these endings.
 ENDINGS_1 = "stmd"
@@ -239,6 +239,9 @@ def load(path: str) -> tuple[Transducer, tuple[str, ...]]:
     return Transducer(Vocabulary(ranks)), added
 
 
+keeps(__name__, load.cache_clear)
+
+
 class Counter:
     """Counts tokens of whole texts as the library does without special tokens around them."""
 
