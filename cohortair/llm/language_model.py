@@ -28,7 +28,7 @@ CLASS_ROWS = 1 + 2 * (BUCKETS + 1) + PAIRS
 # Rows of the member table, each for a class: bias, last bucket, the one before it (hashed).
 MEMBER_ROWS = CLASSES + (BUCKETS + 1) * CLASSES + SKIPS
 ROUNDS = 3
-BATCH = 8192
+BATCH = 16384
 TYPES_KEPT = 300_000
 
 
@@ -151,17 +151,21 @@ def forward(model: Model, target: np.ndarray, last: np.ndarray, skip: np.ndarray
     return kind, target % MEMBERS, a, b, classes, members
 
 
-def descend(weights: np.ndarray, seen: np.ndarray, often: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float):
-    """One Adagrad step on the rows that a batch touches; `seen` keeps squared gradients, `often` counts."""
-    order = np.argsort(rows, kind="stable")
-    ranked = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    at, total = ranked[first], np.add.reduceat(grads[order], first, axis=0)
-    often[at] += np.diff(np.append(first, len(rows)))
+def descend(weights: np.ndarray, seen: np.ndarray, often: np.ndarray, at, total: np.ndarray, counts, rate: float):
+    """One Adagrad step on rows with summed gradients; `seen` keeps squared gradients, `often` counts."""
+    often[at] += counts
     seen[at] += (total * total).mean(1)
     weights[at] -= rate * total / np.sqrt(seen[at] + 1e-6)[:, None]
 
 
+def summed(rows: np.ndarray, grads: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Touched rows of a table of that size, their summed gradients and counts; `grads` has a line per column."""
+    counts = np.bincount(rows, minlength=size)
+    at = np.flatnonzero(counts)
+    total = np.stack([np.bincount(rows, line, size)[at] for line in grads], 1)
+    return at, total.astype(np.float32), counts[at]
+
+
 def learn(model: Model, batches: Iterator[list[str | None]], rate: float) -> tuple[np.ndarray, np.ndarray]:
     """Updates the model's weights over texts; how often each row of both tables was touched."""
     seen = np.zeros(CLASS_ROWS, np.float32), np.zeros(MEMBER_ROWS, np.float32)
@@ -176,10 +180,16 @@ def learn(model: Model, batches: Iterator[list[str | None]], rate: float) -> tup
             off, off_member = np.exp(classes), np.exp(members)
             off[each, kind] -= 1
             off_member[each, member] -= 1
-            for rows in (np.zeros_like(kind), *a):
-                descend(model.classes, seen[0], often[0], rows, off, rate)
-            for rows in b:
-                descend(model.members, seen[1], often[1], rows, off_member, rate)
+            size = np.array([len(kind)])
+            descend(model.classes, seen[0], often[0], [0], off.sum(0, keepdims=True), size, rate)
+            of_kind = np.eye(CLASSES, dtype=np.float32)[kind]
+            sums = of_kind.T @ off_member, of_kind.sum(0).astype(np.int64)
+            descend(model.members, seen[1], often[1], slice(CLASSES), *sums, rate)
+            lines, member_lines = np.ascontiguousarray(off.T), np.ascontiguousarray(off_member.T)
+            for rows in a:
+                descend(model.classes, seen[0], often[0], *summed(rows, lines, CLASS_ROWS), rate)
+            for rows in b[1:]:
+                descend(model.members, seen[1], often[1], *summed(rows, member_lines, MEMBER_ROWS), rate)
     return often
 
 
