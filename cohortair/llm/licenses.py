@@ -59,11 +59,14 @@ def _places(phrase: Notice, words: Column) -> Column:
     return F.when(there, starts).otherwise(F.array().cast("array<int>"))
 
 
-def scanned(docs: DataFrame, phrases: Sequence[Notice], tokens: Sequence[str]) -> DataFrame:
-    """One stored row per row: n_words, starts of each phrase, and blocks.
+def scanned(docs: DataFrame, phrases: Sequence[Notice], tokens: Sequence[str], longest: int) -> DataFrame:
+    """One stored row per row: n_words, starts of each phrase, blocks and stretches.
 
     A block is a line, reduced to the distinct words that any template has:
     others can't count towards a template. Lines without such words are left out.
+    A stretch is the same of 2 * longest words of the text, whatever its line
+    breaks, with their places; one begins at every longest-th word, so that each
+    run of up to `longest` words lies in one.
     """
     lines = F.split(ascii_lower(F.coalesce("text", F.lit(""))), "\n")
     worded = docs.select(
@@ -74,6 +77,23 @@ def scanned(docs: DataFrame, phrases: Sequence[Notice], tokens: Sequence[str]) -
         F.transform("lines", lambda x: F.array_distinct(F.filter(x, lambda w: w.isin(list(tokens))))),
         lambda x: F.size(x) > 0,
     )
+    # Words that no template has are empty, so that each word is looked up once.
+    marked = F.transform("words", lambda w: F.when(w.isin(list(tokens)), w).otherwise(""))
+    worded = worded.withColumn("marked", marked)
+    stretches = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.floor((F.size("marked") - 1) / longest).cast("int")),
+            lambda k: F.filter(
+                F.transform(
+                    F.slice("marked", k * longest + 1, 2 * longest),
+                    lambda w, i: F.struct(i.alias("place"), w.alias("word")),
+                ),
+                lambda x: x["word"] != "",
+            ),
+        ),
+        lambda x: F.size(x) > 0,
+    )
+    empty = F.array().cast("array<array<struct<place:int,word:string>>>")
     return store(
         worded.select(
             F.monotonically_increasing_id().alias("row"),
@@ -81,18 +101,22 @@ def scanned(docs: DataFrame, phrases: Sequence[Notice], tokens: Sequence[str]) -
             F.size("words").cast("long").alias("n_words"),
             *(_places(p, F.col("words")).alias(f"at_{i}") for i, p in enumerate(phrases)),
             blocks.alias("blocks"),
+            F.when(F.size("marked") > 0, stretches).otherwise(empty).alias("stretches"),
         )
     )
 
 
 def matches(rows: DataFrame, templates: Sequence[Notice], containment: float) -> DataFrame:
-    """(row, label, score) of every block that holds enough of a template's words.
+    """(row, label, score) of every line, and every run of words as long as a
+    template, that holds enough of the template's words.
 
-    Tokens stand in order of their frequency over all blocks, rare ones first.
-    A block with the needed overlap shares a token with the prefix of the
+    Tokens stand in order of their frequency over all lines, rare ones first.
+    A line with the needed overlap shares a token with the prefix of the
     template (length filter: it has that many tokens; positional filter: what
     follows the shared token can still add up). Pairs that pass are counted in
-    full, so the result is exact.
+    full, so the result is exact. A run is looked for in the stretches that
+    pass: its words are among theirs. The score is that of the run of a stretch
+    that holds most.
     """
     spark = rows.sparkSession
     known = sorted({w for t in templates for w in t.text.split(" ")})
@@ -103,34 +127,59 @@ def matches(rows: DataFrame, templates: Sequence[Notice], containment: float) ->
     place = {w: i for i, w in enumerate(order)}
     prefixes, needs = [], []
     for template in templates:
-        tokens = sorted(set(template.text.split(" ")), key=place.__getitem__)
+        parts = template.text.split(" ")
+        tokens = sorted(set(parts), key=place.__getitem__)
         need = max(1, math.ceil(containment * len(tokens) - 1e-9))
         needs.append(need)
         for i, token in enumerate(tokens[: len(tokens) - need + 1]):
-            prefixes.append((token, template.label, i, len(tokens), need, tokens))
+            prefixes.append((token, template.label, i, len(tokens), need, tokens, len(parts)))
     if not prefixes:
         return spark.createDataFrame([], "row long, label string, score double")
     index = spark.createDataFrame(
-        prefixes, "token string, label string, t_at int, t_size int, need int, tokens array<string>"
+        prefixes, "token string, label string, t_at int, t_size int, need int, tokens array<string>, length int"
     )
     least = min(needs)
-    blocks = (
-        rows.select("row", F.explode("blocks").alias("found"))
-        .select("row", F.array_intersect(_strings(order), F.col("found")).alias("block"))
-        .withColumn("size", F.size("block"))
-        .where(F.col("size") >= least)
-        .select("*", F.posexplode(F.slice("block", F.lit(1), F.col("size") - (least - 1))).alias("at", "token"))
-    )
-    # The index has a row per prefix token of a template: its size is that of a parameter.
-    met = blocks.join(F.broadcast(index), "token").where(
-        (F.col("size") >= F.col("need"))
-        & (F.col("at") <= F.col("size") - F.col("need"))
-        & (F.least(F.col("size") - F.col("at"), F.col("t_size") - F.col("t_at")) >= F.col("need"))
-    )
-    overlap = F.size(F.array_intersect("block", "tokens"))
-    return met.where(overlap >= F.col("need")).select(
-        "row", "label", (overlap / F.col("t_size")).cast("double").alias("score")
+
+    def met(found: DataFrame, *keep: str) -> DataFrame:
+        """Pairs of a template and a set of words that pass the filters, with their overlap."""
+        sized = (
+            found.select("row", *keep, F.array_intersect(_strings(order), F.col("found")).alias("block"))
+            .withColumn("size", F.size("block"))
+            .where(F.col("size") >= least)
+            .select("*", F.posexplode(F.slice("block", F.lit(1), F.col("size") - (least - 1))).alias("at", "token"))
+        )
+        # The index has a row per prefix token of a template: its size is that of a parameter.
+        near = sized.join(F.broadcast(index), "token").where(
+            (F.col("size") >= F.col("need"))
+            & (F.col("at") <= F.col("size") - F.col("need"))
+            & (F.least(F.col("size") - F.col("at"), F.col("t_size") - F.col("t_at")) >= F.col("need"))
+        )
+        return near.withColumn("overlap", F.size(F.array_intersect("block", "tokens"))).where("overlap >= need")
+
+    def scores(pairs: DataFrame) -> DataFrame:
+        return pairs.select("row", "label", (F.col("overlap") / F.col("t_size")).cast("double").alias("score"))
+
+    lines = met(rows.select("row", F.explode("blocks").alias("found")))
+    stretches = rows.select("row", F.explode("stretches").alias("stretch"))
+    words = F.array_distinct(F.transform("stretch", lambda x: x["word"]))
+    held = F.filter("stretch", lambda x: F.array_contains("tokens", x["word"]))
+
+    def within(first: Column) -> Column:
+        """Distinct template words of the run that begins at a word of the template."""
+        run = F.filter(
+            "held",
+            lambda x: (x["place"] >= first["place"]) & (x["place"] < first["place"] + F.col("length")),
+        )
+        return F.size(F.array_distinct(F.transform(run, lambda x: x["word"])))
+
+    # A run that holds enough can begin at the first of its template words.
+    runs = (
+        met(stretches.withColumn("found", words), "stretch")
+        .withColumn("held", held)
+        .withColumn("overlap", F.array_max(F.transform("held", within)))
+        .where("overlap >= need")
     )
+    return scores(lines).unionByName(scores(runs))
 
 
 def license_scan(
@@ -142,14 +191,16 @@ def license_scan(
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
     Base places are those where a phrase's words stand one after another;
-    labels add those of templates of whose distinct words a line holds the
-    share `containment`. The score is 1 where a phrase stands, else the highest
-    such share, else 0. Null is an empty text, which has no words or labels.
+    labels add those of templates of whose distinct words a line, or a run of
+    as many words as the template has, holds the share `containment`. Runs go on
+    over line breaks, so a wrapped notice is found. The score is 1 where a phrase
+    stands, else the highest such share, else 0. Null is an empty text, which has no words or labels.
     Repeated rows and ids give one row each; other columns are ignored,
     whatever their names; an empty table gives none.
     """
     tokens = sorted({w for t in templates for w in t.text.split(" ")})
-    rows = scanned(docs, phrases, tokens)
+    longest = max((len(t.text.split(" ")) for t in templates), default=1)
+    rows = scanned(docs, phrases, tokens, longest)
     found = (
         matches(rows, templates, containment)
         .groupBy("row")
