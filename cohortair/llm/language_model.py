@@ -27,7 +27,10 @@ PAIRS, SKIPS = 8192, 8192
 CLASS_ROWS = 1 + 2 * (BUCKETS + 1) + PAIRS
 # Rows of the member table, each for a class: bias, last bucket, the one before it (hashed).
 MEMBER_ROWS = CLASSES + (BUCKETS + 1) * CLASSES + SKIPS
-ROUNDS = 3
+# Training texts are dealt by hash into slices: one tells when to stop, and each other one is a step of a pass.
+STEPS, RATE = 8, 0.7
+# Passes end when the loss per token falls by less; the second number only ends what would never settle.
+LEAST_FALL, MOST_PASSES = 0.002, 50
 BATCH = 16384
 TYPES_KEPT = 300_000
 
@@ -151,11 +154,16 @@ def forward(model: Model, target: np.ndarray, last: np.ndarray, skip: np.ndarray
     return kind, target % MEMBERS, a, b, classes, members
 
 
-def descend(weights: np.ndarray, seen: np.ndarray, often: np.ndarray, at, total: np.ndarray, counts, rate: float):
-    """One Adagrad step on rows with summed gradients; `seen` keeps squared gradients, `often` counts."""
+def descend(weights: np.ndarray, seen: np.ndarray, often: np.ndarray, at: np.ndarray, total: np.ndarray, counts: np.ndarray):
+    """One Adagrad step on rows with gradients summed over a slice.
+
+    `seen` keeps squared gradients and `often` counts, which stand for the
+    noise of a sum: without them a gradient near 0 would move a row as far as
+    a large one. A slice twice as large gives the same step.
+    """
     often[at] += counts
     seen[at] += (total * total).mean(1)
-    weights[at] -= rate * total / np.sqrt(seen[at] + 1e-6)[:, None]
+    weights[at] -= RATE * total / np.sqrt(seen[at] + often[at])[:, None]
 
 
 def summed(rows: np.ndarray, grads: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
@@ -166,10 +174,11 @@ def summed(rows: np.ndarray, grads: np.ndarray, size: int) -> tuple[np.ndarray,
     return at, total.astype(np.float32), counts[at]
 
 
-def learn(model: Model, batches: Iterator[list[str | None]], rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Updates the model's weights over texts; how often each row of both tables was touched."""
-    seen = np.zeros(CLASS_ROWS, np.float32), np.zeros(MEMBER_ROWS, np.float32)
+def gradients(model: Model, batches: Iterator[list[str | None]], needed: bool) -> tuple:
+    """Sums over texts at fixed weights: gradients of both tables, how often each row was touched, loss, tokens."""
+    sums = np.zeros(model.classes.shape), np.zeros(model.members.shape)
     often = np.zeros(CLASS_ROWS, np.int64), np.zeros(MEMBER_ROWS, np.int64)
+    loss, tokens = 0.0, 0
     for texts in batches:
         codes, starts, _ = model.read(texts)
         target, last, skip = model.features(codes, starts)
@@ -177,36 +186,36 @@ def learn(model: Model, batches: Iterator[list[str | None]], rate: float) -> tup
             part = slice(i, i + BATCH)
             kind, member, a, b, classes, members = forward(model, target[part], last[part], skip[part])
             each = np.arange(len(kind))
+            loss -= float((classes[each, kind].astype(np.float64) + members[each, member]).sum())
+            tokens += len(kind)
+            if not needed:
+                continue
             off, off_member = np.exp(classes), np.exp(members)
             off[each, kind] -= 1
             off_member[each, member] -= 1
-            size = np.array([len(kind)])
-            descend(model.classes, seen[0], often[0], [0], off.sum(0, keepdims=True), size, rate)
-            of_kind = np.eye(CLASSES, dtype=np.float32)[kind]
-            sums = of_kind.T @ off_member, of_kind.sum(0).astype(np.int64)
-            descend(model.members, seen[1], often[1], slice(CLASSES), *sums, rate)
+            sums[0][0] += off.sum(0)
+            often[0][0] += len(kind)
             lines, member_lines = np.ascontiguousarray(off.T), np.ascontiguousarray(off_member.T)
-            for rows in a:
-                descend(model.classes, seen[0], often[0], *summed(rows, lines, CLASS_ROWS), rate)
-            for rows in b[1:]:
-                descend(model.members, seen[1], often[1], *summed(rows, member_lines, MEMBER_ROWS), rate)
-    return often
+            for number, used, held in ((0, a, lines), (1, b, member_lines)):
+                for rows in used:
+                    at, total, counts = summed(rows, held, len(often[number]))
+                    sums[number][at] += total
+                    often[number][at] += counts
+    return sums, often, loss, tokens
 
 
-def train_round(docs: DataFrame, model: Model, rate: float) -> None:
-    """One distributed update: tasks descend on their own texts, Spark averages what they changed.
+def summed_gradients(docs: DataFrame, model: Model, needed: bool = True) -> tuple[list[tuple], float, int]:
+    """Per table touched rows, gradients and counts, then loss and tokens, over all texts.
 
-    A row's change is averaged over the tasks that touched it, weighted by how
-    often. Each task sends touched rows only, and the tables have a fixed size.
+    Tasks sum at the same weights and Spark adds up, so that how the texts are
+    split into tasks changes nothing but rounding. The tables have a fixed size.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"v{i}" for i in range(MEMBERS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = shared.value
-        own = Model(**{k: getattr(start, k) for k in Model.__dataclass_fields__}).prepared()
-        own.classes, own.members = start.classes.copy(), start.members.copy()
+        own = shared.value.prepared()
 
         def texts():
             for batch in batches:
@@ -214,32 +223,64 @@ def train_round(docs: DataFrame, model: Model, rate: float) -> None:
                 for a, b in slices(every, 1_000_000):
                     yield every[a:b]
 
-        often = learn(own, texts(), rate)
-        for number, (now, before) in enumerate(((own.classes, start.classes), (own.members, start.members))):
+        def rows(part: int, at: np.ndarray, often: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+            wide = np.zeros((len(at), MEMBERS))
+            wide[:, : sums.shape[1]] = sums
+            arrays = [pa.array(np.full(len(at), part, np.int32)), pa.array(at.astype(np.int32)), pa.array(often)]
+            arrays += [pa.array(wide[:, i].copy()) for i in range(MEMBERS)]
+            return pa.RecordBatch.from_arrays(arrays, names=["part", "row", "n", *names])
+
+        sums, often, loss, tokens = gradients(own, texts(), needed)
+        for number in (0, 1):
             at = np.flatnonzero(often[number])
-            change = np.zeros((len(at), MEMBERS), np.float32)
-            change[:, : now.shape[1]] = (now - before)[at] * often[number][at][:, None]
-            arrays = [
-                pa.array(np.full(len(at), number, np.int32)),
-                pa.array(at.astype(np.int32)),
-                pa.array(often[number][at]),
-                *(pa.array(change[:, i].copy()) for i in range(MEMBERS)),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["part", "row", "n", *names])
-
-    schema = "part int, row int, n long, " + ", ".join(f"{n} float" for n in names)
-    summed = (
+            yield rows(number, at, often[number][at], sums[number][at])
+        yield rows(2, np.zeros(1), np.array([tokens]), np.array([[loss]]))
+
+    schema = "part int, row int, n long, " + ", ".join(f"{n} double" for n in names)
+    added = (
         docs.select("text")
         .mapInArrow(run, schema)
         .groupBy("part", "row")
         .agg(F.sum("n").alias("n"), *(F.sum(n).alias(n) for n in names))
         .toPandas()
     )
-    changes = summed[names].to_numpy(np.float64) / summed[["n"]].to_numpy(np.float64)
-    for number, weights in ((0, model.classes), (1, model.members)):
-        own = (summed.part == number).to_numpy()
-        weights[summed.row[own]] += changes[own, : weights.shape[1]]
     shared.unpersist()
+    found = []
+    for number, width in ((0, CLASSES), (1, MEMBERS)):
+        own = added[added.part == number]
+        found.append((own.row.to_numpy(), own[names[:width]].to_numpy(np.float64), own.n.to_numpy(np.int64)))
+    ends = added[added.part == 2]
+    return found, float(ends.v0.sum()), int(ends.n.sum())
+
+
+def fit(docs: DataFrame, model: Model) -> list[float]:
+    """Passes of global steps until the loss of the slice left out stops falling; that loss before and after each.
+
+    The slice left out is the last step, so that every text is learned from.
+    """
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(STEPS + 1))
+    tables = model.classes, model.members
+    seen = [np.zeros(len(t)) for t in tables]
+    often = [np.zeros(len(t)) for t in tables]
+
+    def step(k: int) -> None:
+        found, _, _ = summed_gradients(docs.where(dealt == k), model)
+        for i, (at, total, counts) in enumerate(found):
+            descend(tables[i], seen[i], often[i], at, total, counts)
+
+    def left_out() -> float:
+        _, loss, tokens = summed_gradients(docs.where(dealt == STEPS), model, needed=False)
+        return loss / max(tokens, 1)
+
+    losses = [left_out()]
+    for _ in range(MOST_PASSES):
+        for k in range(STEPS):
+            step(k)
+        losses.append(left_out())
+        if losses[-1] > losses[-2] - LEAST_FALL:
+            break
+    step(STEPS)
+    return losses
 
 
 def frequent(counts: DataFrame, most: int) -> int:
@@ -259,7 +300,7 @@ def train(docs: DataFrame, counts: DataFrame, most_frequent: int = 150_000) -> M
 
     Up to `most_frequent` tokens, those above one count, go to every task with
     their counts; the rest is looked up by a join. The weights are trained on
-    every text once, in rounds over thirds of the rows.
+    every text, by steps on gradients that Spark sums over all of a slice.
     """
     least = frequent(counts, most_frequent)
     top = counts.where(F.col("count") >= least).toPandas()
@@ -282,9 +323,7 @@ def train(docs: DataFrame, counts: DataFrame, most_frequent: int = 150_000) -> M
     total, types = int(bucket_total.sum()), int(bucket_types.sum())
     model = Model(tokens, top["count"].to_numpy(np.int64), total, types, bucket_total, bucket_types)
     model.start()
-    third = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
-    for k in range(ROUNDS):
-        train_round(docs.where(third == k), model, 0.1 / (1 + k))
+    fit(docs, model)
     return model
 
 
