@@ -19,6 +19,7 @@ from cohortair.llm import (
     simhash,
     token_counts,
     weighted_sampling,
+    whitening,
 )
 from cohortair.llm.common import crc_fold, table
 from cohortair.sources.session import tune
@@ -32,6 +33,7 @@ WINDOW = 10
 MODEL_FOLDS = 10
 LANGUAGE_FOLDS, HELD_OUT_LANGUAGE = 4, 2
 SHARD_BYTES = 64 * 1024 * 1024
+WHITENED = 16
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
@@ -109,3 +111,8 @@ def op9_weighted_sampling(spark, folder):
 @query
 def op10_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer(BYTES), TOKEN_LIMIT)
+
+
+@query
+def op12_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"), "embedding", "vec_id", WHITENED)
