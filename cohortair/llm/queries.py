@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortair.llm import (
+    collocations,
     decontaminate,
     language,
     language_model,
@@ -116,3 +117,8 @@ def op10_token_counts(spark, folder):
 @query
 def op12_whitening(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"), "embedding", "vec_id", WHITENED)
+
+
+@query
+def op13_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortair.llm.collocations import LEAST, TOP
 from cohortair.llm.common import LOWER, UPPER
 from cohortair.llm.decontaminate import WORD
 from cohortair.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES
@@ -94,8 +95,53 @@ FROM (
 ) WHERE k = 1"""
 
 
+def collocations(least: int, top: int) -> str:
+    """Every phrase of up to three words of every piece, every cut, every longer candidate."""
+    return f"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]') AS pieces
+  FROM documents
+),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM p, range(1, len(w) + 1) AS t(i), range(1, 4) AS s(k) WHERE i + k - 1 <= len(w)
+),
+c AS MATERIALIZED (SELECT lang, phrase, count(*) AS f, len(string_split(phrase, ' ')) AS words FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM c WHERE words = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS parts FROM c WHERE words >= 2 AND f >= {least}),
+halves AS (
+  SELECT lang, phrase, a, k, array_to_string(parts[1:k], ' ') AS left_part, array_to_string(parts[k + 1:], ' ') AS right_part
+  FROM cand, range(1, 3) AS t(k) WHERE k < words
+),
+with_left AS MATERIALIZED (
+  SELECT h.*, l.f AS l FROM halves h JOIN c AS l ON l.lang = h.lang AND l.phrase = h.left_part
+),
+cut AS (
+  SELECT h.lang, h.phrase, a, k, l, r.f AS r, (CAST(a AS HUGEINT) * a * 1000000) // (CAST(l AS HUGEINT) * r.f) AS score
+  FROM with_left h JOIN c AS r ON r.lang = h.lang AND r.phrase = h.right_part
+),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM cut) WHERE o = 1),
+inner_parts AS (
+  SELECT lang, a AS outer_a, array_to_string(parts[1:words - 1], ' ') AS phrase FROM cand WHERE words >= 3
+  UNION ALL
+  SELECT lang, a AS outer_a, array_to_string(parts[2:], ' ') AS phrase FROM cand WHERE words >= 3
+),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts o WHERE o.lang = b.lang AND o.phrase = b.phrase AND 100 * o.outer_a >= 50 * b.a
+  )
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, CAST(k AS BIGINT) AS k
+FROM ranked JOIN n ON ranked.lang = n.lang WHERE rank <= {top}"""
+
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": contamination(WINDOW),
     "op3_licenses": licenses(CONTAINMENT),
     "op5_sharding": shards(SHARD_BYTES),
+    "op13_collocations": collocations(LEAST, TOP),
 }
