@@ -19,6 +19,7 @@ from cohortair.llm import (
     sharding,
     simhash,
     token_counts,
+    toxicity,
     weighted_sampling,
     whitening,
 )
@@ -122,3 +123,9 @@ def op12_whitening(spark, folder):
 @query
 def op13_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op11_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.scores(docs, table(spark, folder, "labels"))
