@@ -24,26 +24,23 @@ LONGEST, LEAST, TOP, SPREAD = 3, 10, 2000, 256
 EXACT = "decimal(38,0)"
 
 
-def phrases(text: Column, longest: int = LONGEST) -> Column:
-    """All phrases of 1 to `longest` consecutive words inside each piece, space-joined."""
-    pieces = F.split(ascii_lower(F.coalesce(text, F.lit(""))), PIECE)
-
-    def grams(piece: Column) -> Column:
-        words = F.regexp_extract_all(piece, F.lit(WORD), 0)
-        size = F.size(words)
-        starts = F.sequence(F.lit(1), size)
-        found = F.flatten(
-            F.transform(
-                starts,
-                lambda i: F.transform(
-                    F.sequence(F.lit(1), F.least(F.lit(longest), size - i + 1)),
-                    lambda k: F.array_join(F.slice(words, i, k), " "),
-                ),
-            )
-        )
-        return F.when(size > 0, found).otherwise(F.array().cast("array<string>"))
+def words_of(piece: Column) -> Column:
+    """The words of a piece: runs of characters other than space and tab."""
+    return F.array_remove(F.split(piece, "[\\x20\\x09]+"), "")
+
 
-    return F.flatten(F.transform(pieces, grams))
+def phrases(words: Column, longest: int = LONGEST) -> Column:
+    """All phrases of 1 to `longest` consecutive words of one piece, space-joined.
+
+    Phrases of k words are those of k - 1 words zipped with the words k - 1
+    places on, each array cut to the number of places where k words fit.
+    """
+    found, last = [words], words
+    for k in range(2, longest + 1):
+        fits = F.greatest(F.size(words) - (k - 1), F.lit(0))
+        last = F.zip_with(F.slice(last, 1, fits), F.slice(words, k, fits), lambda a, b: F.concat_ws(" ", a, b))
+        found.append(last)
+    return F.concat(*found)
 
 
 def counts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -54,7 +51,8 @@ def counts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     lies and shuffled as one row per task.
     """
     lang = F.coalesce(F.col("lang"), F.lit("und")).alias("lang")
-    found = docs.select(lang, F.explode(phrases(F.col("text"), longest)).alias("phrase"))
+    pieces = docs.select(lang, F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), PIECE)).alias("piece"))
+    found = pieces.select("lang", F.explode(phrases(words_of(F.col("piece")), longest)).alias("phrase"))
     return found.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).withColumn(
         "words", F.size(F.split("phrase", " "))
     )
