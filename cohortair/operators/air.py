@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from cohortair.functions.readings import first_used, mean_of_present, null_below
 from cohortair.operators.joins import broadcast_if_small
-from cohortair.operators.timeseries import fill_calendar, trailing
+from cohortair.operators.timeseries import calendar_rows, fill_calendar, partitions_for, trailing
 from cohortair.settings import Duration, Pollutant
 
 SITE = "aqs_site_id"
@@ -49,18 +49,21 @@ def _label(labelled: bool) -> list:
     return [F.min(F.struct(*LABEL)).alias("_label")]
 
 
-def _mean_per_count(df: DataFrame, keys: Sequence[str], labelled: bool = False) -> DataFrame:
+def _mean_per_count(
+    df: DataFrame, keys: Sequence[str], labelled: bool = False, partitions: int | None = None
+) -> DataFrame:
     """Mean per group and observation count, gathered by site.
 
     Readings are averaged before the shuffle by site. What a site then holds
-    is bounded by its days and the counts a day can have.
+    is bounded by its days and the counts a day can have. `partitions` fixes
+    the number of tasks by site, for the calendars opened later in them.
     """
-    return (
+    means = (
         df.where(F.col("ObservationCount").isNotNull())
         .groupBy(*keys, "ObservationCount")
         .agg(F.avg("ArithmeticMean").alias("_mean"), *_label(labelled))
-        .repartition(keys[0])
     )
+    return means.repartition(keys[0]) if partitions is None else means.repartition(partitions, keys[0])
 
 
 def _least_label(labelled: bool) -> list:
@@ -72,6 +75,7 @@ def best_reading(
     keys: Sequence[str] = (SITE, "DateLocal"),
     value: str = "measurement",
     labelled: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Mean of the readings that share the group's highest observation count.
 
@@ -79,14 +83,14 @@ def best_reading(
     without a count are left out.
     """
     return (
-        _mean_per_count(df, keys, labelled)
+        _mean_per_count(df, keys, labelled, partitions)
         .groupBy(*keys)
         .agg(F.max_by("_mean", "ObservationCount").alias(value), *_least_label(labelled))
     )
 
 
 def best_by_duration(
-    df: DataFrame, durations: Sequence[Duration], labelled: bool = False
+    df: DataFrame, durations: Sequence[Duration], labelled: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """`best_reading` within each duration, one column per duration."""
     listed = df.where(F.col("SampleDuration").isin(*[d.label for d in durations]))
@@ -95,18 +99,19 @@ def best_by_duration(
         count = F.when(F.col("SampleDuration") == d.label, F.col("ObservationCount"))
         best.append(F.max_by(F.col("_mean"), count).alias(d.value))
     return (
-        _mean_per_count(listed, (SITE, "DateLocal", "SampleDuration"), labelled)
+        _mean_per_count(listed, (SITE, "DateLocal", "SampleDuration"), labelled, partitions)
         .groupBy(SITE, F.col("DateLocal").alias("date"))
         .agg(*best, *_least_label(labelled))
     )
 
 
 def daily_by_duration(
-    df: DataFrame, durations: Sequence[Duration], labelled: bool = False
+    df: DataFrame, durations: Sequence[Duration], labelled: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """Mean of all readings of a site and day, one column per duration.
 
-    A duration may ask for a certain observation count.
+    A duration may ask for a certain observation count. With `partitions`,
+    readings are dealt by site over that many tasks before they are averaged.
     """
     counted, means = F.lit(False), []
     for d in durations:
@@ -115,7 +120,10 @@ def daily_by_duration(
             holds = holds & (F.col("ObservationCount") == d.needs_count)
         counted = counted | holds
         means.append(F.avg(F.when(holds, F.col("ArithmeticMean"))).alias(d.value))
-    by_day = df.where(counted).groupBy(SITE, F.col("DateLocal").alias("date"))
+    kept = df.where(counted)
+    if partitions is not None:
+        kept = kept.repartition(partitions, SITE)
+    by_day = kept.groupBy(SITE, F.col("DateLocal").alias("date"))
     return by_day.agg(*means, *_label(labelled))
 
 
@@ -138,17 +146,25 @@ def mean_duration(df: DataFrame, durations: Sequence[Duration], value: str) -> D
     )
 
 
-def daily_series(readings: DataFrame, kind: Pollutant, labelled: bool = False) -> DataFrame:
+def daily_series(
+    readings: DataFrame, kind: Pollutant, labelled: bool = False, partitions: int | None = None
+) -> DataFrame:
     """One row per monitor and calendar day of one pollutant's readings.
 
-    `labelled` carries each day's smallest label along as `_label`.
+    `labelled` carries each day's smallest label along as `_label`. The sites
+    are dealt over `partitions` tasks; without it, as many as the opened
+    calendars ask for (`calendar_rows`, one small aggregation of the readings'
+    sites and days), so that no task is left with the calendars of all sites.
     """
     valid = nullify_below(readings, limit=kind.limit)
+    if partitions is None:
+        rows = calendar_rows(valid.select(SITE, "DateLocal"), SITE, "DateLocal")
+        partitions = partitions_for(readings.sparkSession, rows)
     if not kind.durations:
-        daily = best_reading(valid, value=kind.value, labelled=labelled)
+        daily = best_reading(valid, value=kind.value, labelled=labelled, partitions=partitions)
         return fill_calendar(daily.withColumnRenamed("DateLocal", "date"))
     by_duration = best_by_duration if kind.within_day == "best" else daily_by_duration
-    filled = fill_calendar(by_duration(valid, kind.durations, labelled))
+    filled = fill_calendar(by_duration(valid, kind.durations, labelled, partitions))
     choose = pick_duration if kind.between == "first" else mean_duration
     return choose(filled, kind.durations, kind.value)
 
@@ -214,14 +230,18 @@ def near_readings(
 
 
 def zip_series(
-    matched: DataFrame, kind: Pollutant, days: Sequence[int] = (30, 365)
+    matched: DataFrame, kind: Pollutant, days: Sequence[int] = (30, 365), partitions: int | None = None
 ) -> DataFrame:
     """Daily series per ZIP with its trailing means, labelled.
 
     The label comes with the monitor days, so readings are not scanned again:
     a ZIP has the smallest name, code and unit among the readings that count
-    of its own monitors.
+    of its own monitors. With `partitions`, monitor days are dealt by ZIP over
+    that many tasks, and the day means, trailing frames and label of a ZIP
+    all run there without another shuffle.
     """
+    if partitions is not None:
+        matched = matched.repartition(partitions, "zip_code")
     looked = trailing(zip_daily(matched, kind), days, value=kind.area_value)
     if kind.labelled:
         of_zip = Window.partitionBy("zip_code")

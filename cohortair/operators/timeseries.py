@@ -2,20 +2,58 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def fill_calendar(df: DataFrame, site: str = "aqs_site_id", day: str = "date") -> DataFrame:
+# Rows of an opened calendar (or of its ZIPs) that one task handles.
+ROWS_PER_TASK = 200_000
+
+
+def calendar_rows(
+    df: DataFrame, site: str = "aqs_site_id", day: str = "date", fan_out: DataFrame | None = None
+) -> int:
+    """Rows that opening the calendars makes: per site, the days from its first to its last.
+
+    With `fan_out`, each site's days count once per row it has there (its
+    ZIPs, say). One aggregation by site, combined in each task before the
+    shuffle, so the measurement costs a scan of two columns.
+    """
+    spans = df.where(F.col(day).isNotNull()).groupBy(site).agg(
+        (F.datediff(F.max(day), F.min(day)) + 1).cast("long").alias("_days")
+    )
+    if fan_out is not None:
+        times = fan_out.where(F.col(site).isNotNull()).groupBy(site).agg(F.count(F.lit(1)).alias("_times"))
+        spans = spans.join(times, site).select(site, (F.col("_days") * F.col("_times")).alias("_days"))
+    return spans.agg(F.sum("_days")).first()[0] or 0
+
+
+def partitions_for(spark: SparkSession, rows: int, per_task: int = ROWS_PER_TASK) -> int:
+    """As many partitions as the opened rows ask for, and at least one per core.
+
+    Given as a number to `repartition`, they are not merged again by adaptive
+    execution, which would judge the rows by their size before they open.
+    """
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / per_task))
+
+
+def fill_calendar(
+    df: DataFrame, site: str = "aqs_site_id", day: str = "date", partitions: int | None = None
+) -> DataFrame:
     """Every day from a site's first to its last, with nulls where it has no row.
 
     Each row is opened up to the day before the site's next row, which takes
     one shuffle by site and no join. The input holds daily rows, so a site's
-    group is never longer than its calendar.
+    group is never longer than its calendar. `partitions` deals the sites
+    over that many tasks first (see `partitions_for`); without it, rows that
+    lie by site already stay where they are.
     """
+    if partitions is not None:
+        df = df.repartition(partitions, site)
     by_site = Window.partitionBy(site).orderBy(day)
     until = F.greatest(F.col(day), F.date_sub(F.lead(day).over(by_site), 1))
     opened = (

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cohortair.operators import air, area, climate
+from cohortair.operators import air, area, climate, timeseries
 from cohortair.settings import Pollutant
 
 
@@ -35,5 +36,10 @@ def pollutant_series(
     nearby = area.nearby_monitors(zip_zcta, area.zcta_monitors(pairs), kind.dedupe)
     # Monitor days are distinct by construction and so is `nearby` where it
     # matters, so no repeats are left to drop after the join.
-    daily = air.daily_series(air.near_readings(of_kind, nearby), kind, kind.labelled)
-    return air.zip_series(air.zip_readings(daily, nearby, dedupe=False), kind, days)
+    near = air.near_readings(of_kind, nearby)
+    daily = air.daily_series(near, kind, kind.labelled)
+    # ZIP days: each site's calendar once per ZIP it serves, dealt by ZIP over as many tasks as they ask for.
+    located = nearby.where(F.col("zip_code").isNotNull())
+    opened = timeseries.calendar_rows(near.select(air.SITE, "DateLocal"), air.SITE, "DateLocal", located)
+    partitions = timeseries.partitions_for(readings.sparkSession, opened)
+    return air.zip_series(air.zip_readings(daily, nearby, dedupe=False), kind, days, partitions)

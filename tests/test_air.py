@@ -269,3 +269,20 @@ def test_checks_on_readings(spark):
     ]
     assert rows(checks.compare_methods(table, "m", 42602, "1 HOUR", (60, 566, 600)),
                 "MethodCode", "Measurement_Average") == [(566, 4.0), (60, 7.0)]
+
+
+def test_opened_calendars_keep_a_task_per_core(spark):
+    # Ten sites of two readings a year apart: tiny before the calendars open, 3,660 rows after.
+    rows_in = [(f"s{i}", day(d), 1.0) for i in range(10) for d in ("2020-01-01", "2020-12-31")]
+    df = spark.createDataFrame(rows_in, "aqs_site_id string, date date, v double")
+    opened = timeseries.calendar_rows(df)
+    assert opened == 10 * 366
+    assert timeseries.calendar_rows(df, fan_out=spark.createDataFrame([("s1", "z1"), ("s1", "z2")], "aqs_site_id string, zip_code string")) == 2 * 366
+    parts = timeseries.partitions_for(spark, opened, per_task=100)
+    assert parts == 37
+    filled = timeseries.fill_calendar(df, partitions=parts)
+    assert filled.count() == 3660 and filled.rdd.getNumPartitions() == parts
+    assert timeseries.partitions_for(spark, 0) == spark.sparkContext.defaultParallelism
+    # The trailing frames by site reuse the partitions: no shuffle that adaptive execution could merge.
+    looked = timeseries.trailing(filled.withColumnRenamed("v", "measurement_avg"), site="aqs_site_id")
+    assert looked.rdd.getNumPartitions() == parts
