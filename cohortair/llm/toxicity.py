@@ -130,13 +130,14 @@ class Model:
         if self.token not in CACHE:
             CACHE.clear()
         cache = CACHE.setdefault(self.token, {})
-        new = sorted({w for words in per_text for w in words if w not in cache})
+        new = sorted({w for words in per_text for w in words if len(w) >= LENGTH and w not in cache})
         if len(cache) + len(new) > 2_000_000:
             cache.clear()  # a cache of decisions, not results: it is refilled as needed
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             cache.update(zip(part, self.decisions(part).tolist(), strict=True))
-        return [max((cache[w] for w in words), default=self.b) for words in per_text]
+        # A word of fewer than LENGTH characters has no features: its decision is the bias.
+        return [max((cache.get(w, self.b) for w in words), default=self.b) for words in per_text]
 
     def score(self, raw: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-(self.a * raw + self.c)))
@@ -205,7 +206,8 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
 def word_contrast(train: DataFrame) -> DataFrame:
     """Per word: documents of each class holding it, and the z of its log odds ratio (toxic against clean)."""
     words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORD), 0))
-    per_doc = train.select("label", F.explode(words).alias("word"))
+    # Words of fewer than LENGTH characters have no subsequence, so no kernel weight: they cannot inform the SVM.
+    per_doc = train.select("label", F.explode(words).alias("word")).where(F.length("word") >= LENGTH)
     counts = per_doc.groupBy("word").agg(
         F.sum((F.col("label") == 1).cast("long")).alias("t"), F.sum((F.col("label") != 1).cast("long")).alias("c")
     )
