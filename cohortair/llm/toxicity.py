@@ -14,12 +14,15 @@ the highest score of its words (an insult anywhere makes a text toxic), then
 a sigmoid fitted on labelled training documents (Platt) gives the score.
 
 Training: word instances get labels from the documents' labels by contrast.
-Over all labelled training documents, Spark counts each word's documents in
-the toxic and in the clean class; words whose log odds ratio is at least Z
-standard errors above zero and whose share of toxic documents is at least
-RATIO times their share of clean ones (one clean document added) are
-positive; the most frequent other words and a hashed sample of words only
-clean documents hold are negative. Landmarks and examples are bounded, documented samples of these.
+Over all labelled training documents, Spark counts the toxic documents that
+hold each word, and for words of two such documents or more the clean ones;
+words whose log odds ratio is at least Z standard errors above zero and whose
+share of toxic documents is at least RATIO times their share of clean ones
+(one clean document added) are positive. Negatives are the most frequent
+other words of a sample of MAX_LABELS labelled rows
+(by a hash of the id) and a hashed sample of the words only clean documents
+of that sample hold. Landmarks and examples are bounded, documented samples
+of these; the same sample fits Platt's sigmoid.
 """
 
 from __future__ import annotations
@@ -34,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortair.llm.common import ascii_lower, crc_fold, keeps, map_texts
+from cohortair.llm.common import ascii_lower, crc_fold, keeps, map_texts, store
+from cohortair.operators.joins import broadcast_if_small
 
 # Fixed values of the contract: words and training folds.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -43,7 +47,7 @@ LENGTH, DECAY, MAX_SPAN = 3, 0.5, 5
 LANDMARKS, POSITIVES, NEGATIVES, MAX_LABELS = 128, 400, 1200, 20_000
 Z, C, RATIO = 3.0, 100.0, 10
 PATTERN = re.compile("[^\x20\x09-\x0d]+")
-UPPER_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 CACHE: dict[str, dict[str, float]] = {}
 keeps(__name__, CACHE.clear)
 
@@ -53,31 +57,43 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A code packs three code points (21 bits each); the weight of one
     occurrence is DECAY ** span. Words shorter than 3 characters have none.
+    Rows come sorted by word. Within one call, word index and ranks of the
+    three characters in the call's alphabet form one integer key, so one sort
+    gathers equal subsequences; a batch whose key would pass 63 bits is
+    split in halves.
     """
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    # Code points ranked within the batch, so that word and subsequence pack into one sort key.
+    alphabet, rank = np.unique(points, return_inverse=True)
+    size = max(len(alphabet), 1)
+    if len(words) > 1 and len(words) * size**3 >= 2**63:  # key would overflow: halves, each sorted by word
+        half = len(words) // 2
+        a, b = subsequences(words[:half]), subsequences(words[half:])
+        return np.r_[a[0], b[0] + half], np.r_[a[1], b[1]], np.r_[a[2], b[2]]
     sizes = np.fromiter((len(w) for w in words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), sizes)
     total = len(points)
-    ids, codes, weights = [], [], []
+    keys, weights = [], []
     for g1 in range(MAX_SPAN - LENGTH + 1):
         for g2 in range(MAX_SPAN - LENGTH + 1 - g1):
             first = np.arange(max(total - 2 - g1 - g2, 0))
+            third = first + 2 + g1 + g2
+            first = first[owner[first] == owner[third]]
             second, third = first + 1 + g1, first + 2 + g1 + g2
-            same = (owner[first] == owner[third]) if len(first) else np.zeros(0, bool)
-            first, second, third = first[same], second[same], third[same]
-            ids.append(owner[first])
-            codes.append((points[first] << 42) | (points[second] << 21) | points[third])
+            keys.append(((owner[first] * size + rank[first]) * size + rank[second]) * size + rank[third])
             weights.append(np.full(len(first), DECAY ** (3 + g1 + g2)))
-    ids, codes, weights = np.concatenate(ids), np.concatenate(codes), np.concatenate(weights)
-    order = np.lexsort((codes, ids))
-    ids, codes, weights = ids[order], codes[order], weights[order]
-    if len(ids) == 0:
-        return ids, codes, weights
-    start = np.r_[True, (ids[1:] != ids[:-1]) | (codes[1:] != codes[:-1])]
-    at = np.flatnonzero(start)
-    return ids[at], codes[at], np.add.reduceat(weights, at)
+    key, weight = np.concatenate(keys), np.concatenate(weights)
+    if len(key) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    unique, where = np.unique(key, return_inverse=True)
+    summed = np.bincount(where, weight, minlength=len(unique))
+    third, rest = unique % size, unique // size
+    second, rest = rest % size, rest // size
+    first, ids = rest % size, rest // size
+    codes = (alphabet[first] << 42) | (alphabet[second] << 21) | alphabet[third]
+    return ids, codes, summed
 
 
 @dataclass
@@ -103,8 +119,13 @@ class Landmarks:
             return out
         norms = np.sqrt(np.bincount(ids, weights**2, minlength=len(words)))
         place = np.clip(np.searchsorted(self.codes, codes), 0, len(self.codes) - 1)
-        hit = self.codes[place] == codes
-        np.add.at(out, ids[hit], (weights[hit] / norms[ids[hit]])[:, None] * self.weights[place[hit]])
+        hit = np.flatnonzero(self.codes[place] == codes)
+        if len(hit) == 0:
+            return out
+        owner = ids[hit]  # sorted, as subsequences sorts by word
+        parts = (weights[hit] / norms[owner])[:, None] * self.weights[place[hit]]
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        out[owner[starts]] = np.add.reduceat(parts, starts, axis=0)
         return out
 
 
@@ -126,18 +147,22 @@ class Model:
 
     def raw(self, texts: list[str | None]) -> list[float]:
         """Highest word decision of each text; a text without words gets the bias."""
-        per_text = [PATTERN.findall((t or "").translate(UPPER_TO_LOWER)) for t in texts]
+        # A-Z are single bytes in UTF-8 and never part of another character's bytes.
+        per_text = [PATTERN.findall((t or "").encode().translate(ASCII_LOWER).decode()) for t in texts]
         if self.token not in CACHE:
             CACHE.clear()
         cache = CACHE.setdefault(self.token, {})
-        new = sorted({w for words in per_text for w in words if len(w) >= LENGTH and w not in cache})
+        new = {w for words in per_text for w in words if w not in cache}
         if len(cache) + len(new) > 2_000_000:
             cache.clear()  # a cache of decisions, not results: it is refilled as needed
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            cache.update(zip(part, self.decisions(part).tolist(), strict=True))
+            new = {w for words in per_text for w in words}
         # A word of fewer than LENGTH characters has no features: its decision is the bias.
-        return [max((cache.get(w, self.b) for w in words), default=self.b) for words in per_text]
+        long = sorted(w for w in new if len(w) >= LENGTH)
+        cache.update((w, self.b) for w in new if len(w) < LENGTH)
+        for i in range(0, len(long), 4096):
+            part = long[i : i + 4096]
+            cache.update(zip(part, self.decisions(part).tolist(), strict=True))
+        return [max(map(cache.__getitem__, words), default=self.b) for words in per_text]
 
     def score(self, raw: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-(self.a * raw + self.c)))
@@ -203,14 +228,29 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     return train.join(marks, "doc_id")
 
 
-def word_contrast(train: DataFrame) -> DataFrame:
-    """Per word: documents of each class holding it, and the z of its log odds ratio (toxic against clean)."""
+def _words(docs: DataFrame) -> DataFrame:
+    """(label, word): each document's distinct words of at least LENGTH characters.
+
+    Shorter words have no subsequence, so no kernel weight: they cannot inform the SVM.
+    """
     words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORD), 0))
-    # Words of fewer than LENGTH characters have no subsequence, so no kernel weight: they cannot inform the SVM.
-    per_doc = train.select("label", F.explode(words).alias("word")).where(F.length("word") >= LENGTH)
-    counts = per_doc.groupBy("word").agg(
-        F.sum((F.col("label") == 1).cast("long")).alias("t"), F.sum((F.col("label") != 1).cast("long")).alias("c")
-    )
+    return docs.select("label", F.explode(words).alias("word")).where(F.length("word") >= LENGTH)
+
+
+def word_contrast(train: DataFrame) -> DataFrame:
+    """Per word of two toxic documents or more: documents of each class holding it, z of its log odds ratio.
+
+    Only words that at least two toxic documents hold can be positive, so only
+    they are counted in clean documents: the clean documents' words meet that
+    list before any shuffle where it measures small (else by a sort-merge
+    join), and the shuffle carries toxic documents' words and matches only.
+    """
+    toxic = _words(train.where(F.col("label") == 1))
+    counted = toxic.groupBy("word").agg(F.count(F.lit(1)).alias("t")).where(F.col("t") >= 2)
+    candidates = store(counted)
+    clean = _words(train.where(F.col("label") != 1)).join(broadcast_if_small(candidates.select("word")), "word", "left_semi")
+    in_clean = clean.groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    counts = candidates.join(in_clean, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     totals = train.agg(
         F.sum((F.col("label") == 1).cast("long")).alias("nt"), F.sum((F.col("label") != 1).cast("long")).alias("nc")
     ).first()
@@ -221,17 +261,27 @@ def word_contrast(train: DataFrame) -> DataFrame:
     return counts.withColumn("z", odds / spread).withColumn("nt", nt).withColumn("nc", nc)
 
 
+def sampled(train: DataFrame) -> DataFrame:
+    """The labelled training rows the fit may see whole: MAX_LABELS of them, by a hash of the id."""
+    return train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELS)
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model:
     """Trains on documents outside the held-out fold; only text and label are inputs."""
     train = labelled(docs, labels, column)
     contrast = word_contrast(train)
     # Positives: significant (z) and at least RATIO times as common among toxic documents, one clean document added.
     ratio = F.col("t") * F.col("nc") >= F.lit(RATIO) * (F.col("c") + 1) * F.col("nt")
-    positive = contrast.where((F.col("z") >= Z) & (F.col("t") >= 2) & ratio).orderBy(F.desc("z"), "word").limit(POSITIVES)
+    positive = contrast.where((F.col("z") >= Z) & ratio).orderBy(F.desc("z"), "word").limit(POSITIVES)
     pos_words = [r.word for r in positive.select("word").collect()]
-    # Negatives: the most frequent other words, and a hashed sample of words only clean documents hold.
-    common = contrast.where(F.col("z") < Z).orderBy(F.desc(F.col("t") + F.col("c")), "word").limit(NEGATIVES // 3)
-    clean = contrast.where((F.col("t") == 0) & (F.col("c") > 0)).orderBy(F.xxhash64("word"), "word").limit(NEGATIVES - NEGATIVES // 3)
+    # Negatives, from the sample: its most frequent words, and a hashed
+    # sample of the words that no toxic document of the sample holds.
+    sample = store(sampled(train))
+    words = _words(sample).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.max((F.col("label") == 1).cast("int")).alias("toxic")
+    ).where(~F.col("word").isin(pos_words) if pos_words else F.lit(True))
+    common = words.orderBy(F.desc("n"), "word").limit(NEGATIVES // 3)
+    clean = words.where(F.col("toxic") == 0).orderBy(F.xxhash64("word"), "word").limit(NEGATIVES - NEGATIVES // 3)
     neg_words = sorted({r.word for r in common.union(clean).select("word").collect()})
     half = LANDMARKS // 2
     marks = pos_words[:half] + neg_words[: LANDMARKS - min(half, len(pos_words))]
@@ -244,7 +294,6 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model:
         model.w, model.b = train_svm(x, y)
     else:
         model.w = np.zeros(model.whitening.shape[1])
-    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELS)
     raws = raw_scores(sample, model).select("raw", "label").toPandas()
     if raws["label"].nunique() == 2:
         model.a, model.c = platt(raws["raw"].to_numpy(float), raws["label"].to_numpy())
