@@ -225,7 +225,8 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """Training documents with their label: 1 if any label row of the id says so; held-out ids left out."""
     marks = labels.where(F.col(column).isNotNull()).groupBy("doc_id").agg(F.max(column).alias("label"))
     train = docs.select("doc_id", "text").where(crc_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-    return train.join(marks, "doc_id")
+    # Ids and labels go to the texts where they measure small, so texts are not shuffled for the join.
+    return train.join(broadcast_if_small(store(marks)), "doc_id")
 
 
 def _words(docs: DataFrame) -> DataFrame:
