@@ -1,7 +1,8 @@
 """Phrase collocation mining over count streams.
 
 Every word position of a piece starts up to three phrases (1, 2, 3 words);
-their counts per language form one stream of (lang, phrase, f). Left, right
+their counts per language form one stream of (lang, phrase, f), counted
+level by level so that only phrases whose parts are frequent are counted. Left, right
 and extension counts come from equality joins of that stream with itself,
 keyed on the candidate's prefix, suffix and parts: Spark plans them as sort-
 merge joins (both sides sorted on the key and read in lockstep), the external
@@ -15,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortair.llm.common import ascii_lower
+from cohortair.llm.common import ascii_lower, store
+from cohortair.operators.joins import broadcast_if_small
 
 # Fixed values of the contract: piece bounds and word characters.
 PIECE = "[.,;:!?\\x0A-\\x0D]"
@@ -58,6 +60,52 @@ def counts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     )
 
 
+def frequent_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
+    """(lang, phrase, words, f) of every phrase seen at least `least` times, and (lang, n) word totals.
+
+    Level by level: words are counted, then phrases of k words only where
+    both their phrases of k - 1 words (first and last) were frequent, since a
+    phrase occurs no more often than its parts. The parts are looked up by a
+    semi join before the shuffle, a broadcast where the frequent set of the
+    level before measures small; so only phrases that can be frequent are
+    shuffled, and each is counted over all its occurrences, exactly.
+    """
+    lang = F.coalesce(F.col("lang"), F.lit("und")).alias("lang")
+    pieces = docs.select(lang, F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), PIECE)).alias("piece"))
+    words = pieces.select("lang", words_of(F.col("piece")).alias("w")).where(F.size("w") > 0)
+    totals = words.groupBy("lang").agg(F.sum(F.size("w").cast("long")).alias("n"))
+    level = store(
+        words.select("lang", F.explode("w").alias("phrase")).groupBy("lang", "phrase")
+        .agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
+    )
+    found = [level.withColumn("words", F.lit(1))]
+    shorter = F.col("w")  # phrases of k - 1 words at each place of the piece
+    for k in range(2, longest + 1):
+        fits = F.greatest(F.size("w") - (k - 1), F.lit(0))
+        grams = words.select(
+            "lang",
+            F.explode(
+                F.arrays_zip(
+                    F.slice(shorter, 1, fits).alias("head"),
+                    F.slice(shorter, 2, fits).alias("tail"),
+                    F.slice(F.col("w"), k, fits).alias("last"),
+                )
+            ).alias("g"),
+        ).select("lang", "g.head", "g.tail", F.concat_ws(" ", "g.head", "g.last").alias("phrase"))
+        parts = broadcast_if_small(level.select("lang", F.col("phrase").alias("part")))
+        kept = grams.join(parts.withColumnRenamed("part", "head"), ["lang", "head"], "left_semi").join(
+            parts.withColumnRenamed("part", "tail"), ["lang", "tail"], "left_semi"
+        )
+        level = store(kept.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least))
+        found.append(level.withColumn("words", F.lit(k)))
+        nxt = F.zip_with(F.slice(shorter, 1, fits), F.slice(F.col("w"), k, fits), lambda a, b: F.concat_ws(" ", a, b))
+        shorter = nxt
+    frequent = found[0]
+    for more in found[1:]:
+        frequent = frequent.unionByName(more)
+    return frequent.select("lang", "phrase", F.col("words").cast("int").alias("words"), "f"), totals
+
+
 def collocations(
     docs: DataFrame, least: int = LEAST, top: int = TOP, longest: int = LONGEST, spread: int = SPREAD
 ) -> DataFrame:
@@ -77,9 +125,7 @@ def collocations(
     slices of a language (by a hash of the phrase), then the best `top` of
     those, so no task sorts all candidates of a language.
     """
-    everything = counts(docs.select("lang", "text"), longest)
-    totals = everything.where(F.col("words") == 1).groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = everything.where(F.col("f") >= least).select("lang", "phrase", "words", "f")
+    frequent, totals = frequent_counts(docs.select("lang", "text"), least, longest)
     candidates = frequent.where(F.col("words") >= 2)
 
     # One row per candidate and cut: left and right parts as phrases.
