@@ -58,13 +58,16 @@ def new_folder(spark: SparkSession) -> str:
 def publish_table(
     df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0
 ) -> DataFrame:
-    """Write the rows as a catalog table and return it.
+    """Write the rows as a new catalog table and return it.
 
     Tables that are joined by one key again and again (people, visits,
     conditions by `person_id`; readings by `aqs_site_id`) can be stored in
-    buckets of that key: joins and groupings by it then need no shuffle.
+    buckets of that key: joins and groupings by it then need no shuffle. As
+    with `publish`, a table of that name is never overwritten (the rows may
+    come from it): Spark raises before anything is written; take a new name
+    per run.
     """
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("errorifexists").format("parquet")
     if bucket_by is not None:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)

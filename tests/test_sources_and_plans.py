@@ -37,6 +37,10 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert "Exchange" not in plan_of(joined)
     assert rows(tables.read_table(spark, "bucketed_right")) == rows(right)
     assert tables.publish_table(right, "plain_copy").count() == 50
+    # Never overwritten, least of all by rows that come from it.
+    with pytest.raises(AnalysisException):
+        tables.publish_table(right.where("person_id > 5"), "bucketed_right", "person_id", 4)
+    assert rows(tables.read_table(spark, "bucketed_right")) == rows(right)
 
 
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
