@@ -269,6 +269,20 @@ def sampled(train: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model:
     """Trains on documents outside the held-out fold; only text and label are inputs."""
+    model, sample = fit_words(docs, labels, column)
+    calibrate(model, raw_scores(sample, model).select("raw", "label"))
+    return model
+
+
+def calibrate(model: Model, raws: DataFrame) -> None:
+    """Platt's sigmoid from (raw, label) rows of a bounded sample; unchanged without both labels."""
+    found = raws.toPandas()
+    if found["label"].nunique() == 2:
+        model.a, model.c = platt(found["raw"].to_numpy(float), found["label"].to_numpy())
+
+
+def fit_words(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> tuple[Model, DataFrame]:
+    """The SVM over words, without its sigmoid, and the stored labelled sample it saw."""
     train = labelled(docs, labels, column)
     contrast = word_contrast(train)
     # Positives: significant (z) and at least RATIO times as common among toxic documents, one clean document added.
@@ -295,10 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model:
         model.w, model.b = train_svm(x, y)
     else:
         model.w = np.zeros(model.whitening.shape[1])
-    raws = raw_scores(sample, model).select("raw", "label").toPandas()
-    if raws["label"].nunique() == 2:
-        model.a, model.c = platt(raws["raw"].to_numpy(float), raws["label"].to_numpy())
-    return model
+    return model, sample
 
 
 def raw_scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -314,15 +325,17 @@ def _raw_maker(model: Model) -> Callable[[], Callable[[list[str | None]], list]]
     return make
 
 
-def toxicity(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+def toxicity(docs: DataFrame, model: Model, threshold: float = 0.5, raw: DataFrame | None = None) -> DataFrame:
     """doc_id, held_out (crc32 of the id as text mod 5 is 0), score in 0..1 and predicted (score >= threshold).
 
     Every row is scored on its whole text: null and empty texts have no words
     and score the model's bias; repeated rows score alike; other columns are
     not carried (the text goes through a column of its own name, so clashing
-    names do not matter).
+    names do not matter). `raw` gives the rows' raw scores where they are
+    computed already.
     """
-    raw = raw_scores(docs.select("doc_id", "text"), model)
+    if raw is None:
+        raw = raw_scores(docs.select("doc_id", "text"), model)
     a, c = model.a, model.c
     score = 1 / (1 + F.exp(-(F.lit(a) * F.col("raw") + F.lit(c))))
     return raw.select(
@@ -334,6 +347,19 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame
     )
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return toxicity(docs, fit(docs, labels))
+def scores(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
+    """Fit and score, each text scored once.
+
+    The raw scores of all rows are stored; the sigmoid is fitted on those of
+    the labelled sample (the same ids the words came from), then applied.
+    """
+    model, sample = fit_words(docs, labels, column)
+    raw = store(raw_scores(docs.select("doc_id", "text"), model))
+    picked = sample.select("doc_id", "label").dropDuplicates(["doc_id"])
+    # One raw score per sampled id (its highest, as labels are per id), so repeated ids keep the sample's bound.
+    per_id = raw.join(broadcast_if_small(picked), "doc_id").groupBy("doc_id").agg(
+        F.max("raw").alias("raw"), F.max("label").alias("label")
+    )
+    calibrate(model, per_id.select("raw", "label"))
+    return toxicity(docs, model, raw=raw)
 
