@@ -72,7 +72,8 @@ def frequent_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST)
     """
     lang = F.coalesce(F.col("lang"), F.lit("und")).alias("lang")
     pieces = docs.select(lang, F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), PIECE)).alias("piece"))
-    words = pieces.select("lang", words_of(F.col("piece")).alias("w")).where(F.size("w") > 0)
+    # Split once and stored: the word counts and each longer level read the words, not the texts.
+    words = store(pieces.select("lang", words_of(F.col("piece")).alias("w")).where(F.size("w") > 0))
     totals = words.groupBy("lang").agg(F.sum(F.size("w").cast("long")).alias("n"))
     level = store(
         words.select("lang", F.explode("w").alias("phrase")).groupBy("lang", "phrase")
