@@ -143,7 +143,23 @@ class Model:
         return self.landmarks.kernel(words) @ self.whitening
 
     def decisions(self, words: list[str]) -> np.ndarray:
-        return self.features(words) @ self.w + self.b
+        """SVM decision of each word: its kernel row times K^(-1/2) w, plus the bias.
+
+        That is linear in the word's normalised subsequence weights, so the
+        landmark weights, K^(-1/2) and w fold into one weight per landmark
+        subsequence, and a word costs one weighted sum instead of m.
+        """
+        out = np.full(len(words), self.b)
+        ids, codes, weights = subsequences(words)
+        marks = self.landmarks
+        if len(ids) == 0 or len(marks.codes) == 0 or len(self.w) == 0:
+            return out
+        folded = marks.weights @ (self.whitening @ self.w)
+        norms = np.sqrt(np.bincount(ids, weights**2, minlength=len(words)))
+        place = np.clip(np.searchsorted(marks.codes, codes), 0, len(marks.codes) - 1)
+        hit = np.flatnonzero(marks.codes[place] == codes)
+        owner = ids[hit]
+        return out + np.bincount(owner, weights[hit] / norms[owner] * folded[place[hit]], minlength=len(words))
 
     def raw(self, texts: list[str | None]) -> list[float]:
         """Highest word decision of each text; a text without words gets the bias."""

@@ -63,3 +63,13 @@ def test_empty_tables(spark):
     assert toxicity.scores(docs.limit(0), labels).collect() == []
     out = toxicity.scores(docs, labels.limit(0)).collect()  # nothing to learn from: one score for all
     assert len({r.score for r in out}) == 1
+
+
+def test_folded_decisions_equal_the_nystrom_features():
+    marks = ["idiot", "clown", "table", "plain", "ab"]
+    lm = toxicity.Landmarks.of(marks)
+    whitening = toxicity.nystrom(lm)
+    w = np.random.default_rng(1).normal(size=whitening.shape[1])
+    model = toxicity.Model(lm, whitening, w, 0.25)
+    words = ["idiot", "idioot", "i.d.i.o.t", "id", "", "tables", "ééé"]
+    assert np.allclose(model.decisions(words), model.features(words) @ w + 0.25, atol=1e-12)
