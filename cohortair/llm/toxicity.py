@@ -9,20 +9,26 @@ lambda each. Spans are limited to MAX_SPAN characters (at most two skipped),
 which makes the feature map explicit and its evaluation linear in the text.
 
 Nystrom: m landmark words give features z(u) = K_mm^(-1/2) k(u, landmarks);
-a linear SVM on z (squared hinge, L2) scores words. A document's raw score is
-the highest score of its words (an insult anywhere makes a text toxic), then
-a sigmoid fitted on labelled training documents (Platt) gives the score.
+a linear SVM on z (squared hinge, L2) scores words. A document's raw scores
+are the highest score of its words (an insult anywhere makes a text toxic) and
+their share of positive score (one word that resembles an insult by chance in
+a long text weighs less than several in a short one); a sigmoid of both fitted
+on labelled training documents (Platt) gives the score.
 
 Training: word instances get labels from the documents' labels by contrast.
 Over all labelled training documents, Spark counts the toxic documents that
 hold each word, and for words of two such documents or more the clean ones;
-words whose log odds ratio is at least Z standard errors above zero and whose
-share of toxic documents is at least RATIO times their share of clean ones
-(one clean document added) are positive. Negatives are the most frequent
+words whose log likelihood ratio (G2) is at least G2 and whose share of toxic
+documents is at least RATIO times their share of clean ones (one clean
+document added) are positive. G2 and not the odds ratio's z ranks them: z
+divides by a standard error that is largest for words no clean document
+holds, so it puts chance words before insults. Negatives are the most frequent
 other words of a sample of MAX_LABELS labelled rows
-(by a hash of the id) and a hashed sample of the words only clean documents
-of that sample hold. Landmarks and examples are bounded, documented samples
-of these; the same sample fits Platt's sigmoid.
+(by a hash of the id), a hashed sample of the words only clean documents
+of that sample hold, and the clean documents' words the SVM still takes for
+insults: HARD of them in each of ROUNDS, out of the POOL words that most clean
+documents of the sample hold. Landmarks and examples are bounded, documented
+samples of these; the same sample fits Platt's sigmoid.
 """
 
 from __future__ import annotations
@@ -45,7 +51,9 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 FOLDS, HELD_OUT = 5, 0
 LENGTH, DECAY, MAX_SPAN = 3, 0.5, 5
 LANDMARKS, POSITIVES, NEGATIVES, MAX_LABELS = 128, 400, 1200, 20_000
-Z, C, RATIO = 3.0, 100.0, 10
+G2, C, RATIO = 10.0, 100.0, 10
+ROUNDS, HARD, POOL = 3, 400, 100_000
+PRIOR_WORDS = 10
 PATTERN = re.compile("[^\x20\x09-\x0d]+")
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 CACHE: dict[str, dict[str, float]] = {}
@@ -135,7 +143,8 @@ class Model:
     whitening: np.ndarray  # K_mm^(-1/2), m x m
     w: np.ndarray
     b: float
-    a: float = 1.0  # Platt: score = 1 / (1 + exp(-(a * raw + c)))
+    a: float = 1.0  # Platt: score = 1 / (1 + exp(-(a * raw + s * share + c)))
+    s: float = 0.0
     c: float = 0.0
     token: str = field(default_factory=lambda: uuid.uuid4().hex)  # names this model's cached decisions
 
@@ -161,8 +170,12 @@ class Model:
         owner = ids[hit]
         return out + np.bincount(owner, weights[hit] / norms[owner] * folded[place[hit]], minlength=len(words))
 
-    def raw(self, texts: list[str | None]) -> list[float]:
-        """Highest word decision of each text; a text without words gets the bias."""
+    def raw(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Highest word decision of each text and its share of positive decisions.
+
+        The share adds each word's decision, held to 0..1, over the words and
+        PRIOR_WORDS more. A text without words gets the bias and no share.
+        """
         # A-Z are single bytes in UTF-8 and never part of another character's bytes.
         per_text = [PATTERN.findall((t or "").encode().translate(ASCII_LOWER).decode()) for t in texts]
         if self.token not in CACHE:
@@ -178,10 +191,21 @@ class Model:
         for i in range(0, len(long), 4096):
             part = long[i : i + 4096]
             cache.update(zip(part, self.decisions(part).tolist(), strict=True))
-        return [max(map(cache.__getitem__, words), default=self.b) for words in per_text]
-
-    def score(self, raw: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-(self.a * raw + self.c)))
+        sizes = np.fromiter(map(len, per_text), np.int64, len(per_text))
+        found = np.fromiter((cache[w] for words in per_text for w in words), float, int(sizes.sum()))
+        highest, total = np.full(len(sizes), self.b), np.zeros(len(sizes))
+        full = np.flatnonzero(sizes)
+        if len(full):
+            starts = (np.cumsum(sizes) - sizes)[full]
+            highest[full] = np.maximum.reduceat(found, starts)
+            total[full] = np.add.reduceat(np.clip(found, 0.0, 1.0), starts)
+        return highest, total / (sizes + PRIOR_WORDS)
+
+    def refit(self, positive: list[str], negative: list[str]) -> None:
+        """The SVM anew on these words; decisions cached for the old one are not used again."""
+        x = self.features(positive + negative)
+        self.w, self.b = train_svm(x, np.r_[np.ones(len(positive)), np.zeros(len(negative))])
+        self.token = uuid.uuid4().hex
 
 
 def nystrom(landmarks: Landmarks) -> np.ndarray:
@@ -192,49 +216,63 @@ def nystrom(landmarks: Landmarks) -> np.ndarray:
     return vectors[:, keep] / np.sqrt(values[keep])
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, c: float = C, steps: int = 3000) -> tuple[np.ndarray, float]:
-    """Linear SVM, squared hinge with L2, classes weighted alike; gradient descent with backtracking."""
+def train_svm(x: np.ndarray, y: np.ndarray, c: float = C, steps: int = 60) -> tuple[np.ndarray, float]:
+    """Linear SVM, squared hinge with L2, classes weighted alike; Newton steps with backtracking."""
     sign = np.where(y > 0, 1.0, -1.0)
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y <= 0).sum(), 1))
     theta = np.zeros(x.shape[1] + 1)
     design = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.r_[np.full(x.shape[1], 1 / c), 0.0]  # the bias is free
 
     def loss(t):
         margin = np.maximum(0.0, 1.0 - sign * (design @ t))
-        return 0.5 * t[:-1] @ t[:-1] / c + (weight * margin**2).sum(), margin
+        return 0.5 * (ridge * t * t).sum() + (weight * margin**2).sum(), margin
 
-    step = 1.0
     value, margin = loss(theta)
     for _ in range(steps):
-        grad = np.r_[theta[:-1] / c, 0.0] - 2 * design.T @ (weight * margin * sign)
+        grad = ridge * theta - 2 * design.T @ (weight * margin * sign)
         if np.linalg.norm(grad) < 1e-9:
             break
-        while step > 1e-12:
-            candidate = theta - step * grad
-            new_value, new_margin = loss(candidate)
-            if new_value <= value - 1e-4 * step * grad @ grad:
-                theta, value, margin = candidate, new_value, new_margin
-                step *= 2
+        active = design[margin > 0]
+        curve = np.diag(ridge + 1e-10) + 2 * (active * weight[margin > 0][:, None]).T @ active
+        way, step = np.linalg.solve(curve, grad), 1.0
+        while step > 1e-10:
+            new_value, new_margin = loss(theta - step * way)
+            if new_value <= value - 1e-4 * step * grad @ way:
                 break
             step /= 2
+        else:
+            break
+        theta, value, margin = theta - step * way, new_value, new_margin
     return theta[:-1], float(theta[-1])
 
 
-def platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Sigmoid fitted by Newton steps on smoothed targets (Platt 1999)."""
+def platt(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Sigmoid of the columns of raw, fitted by Newton steps on smoothed targets (Platt 1999)."""
     positives, negatives = (y > 0).sum(), (y <= 0).sum()
     target = np.where(y > 0, (positives + 1) / (positives + 2), 1 / (negatives + 2))
-    a, c = 1.0, 0.0
+    middle, spread = raw.mean(axis=0), raw.std(axis=0)
+    spread = np.where(spread > 1e-12, spread, 1.0)
+    design = np.hstack([(raw - middle) / spread, np.ones((len(raw), 1))])
+    ridge = np.r_[np.full(raw.shape[1], 1e-2), 1e-9]
+    theta = np.zeros(design.shape[1])
+
+    def loss(t):
+        z = design @ t
+        return (np.logaddexp(0.0, z) - target * z).sum() + 0.5 * (ridge * t * t).sum()
+
     for _ in range(100):
-        p = 1 / (1 + np.exp(-(a * raw + c)))
-        g = np.array([((p - target) * raw).sum(), (p - target).sum()])
-        s = p * (1 - p) + 1e-12
-        h = np.array([[(s * raw * raw).sum(), (s * raw).sum()], [(s * raw).sum(), s.sum()]]) + 1e-9 * np.eye(2)
-        delta = np.linalg.solve(h, g)
-        a, c = a - delta[0], c - delta[1]
-        if np.abs(delta).max() < 1e-10:
+        p = 1 / (1 + np.exp(-np.clip(design @ theta, -500, 500)))
+        grad = design.T @ (p - target) + ridge * theta
+        curve = (design * (p * (1 - p) + 1e-12)[:, None]).T @ design + np.diag(ridge)
+        way, step = np.linalg.solve(curve, grad), 1.0
+        while step > 1e-10 and loss(theta - step * way) > loss(theta):
+            step /= 2
+        theta = theta - step * way
+        if np.abs(step * way).max() < 1e-10:
             break
-    return float(a), float(c)
+    factors = theta[:-1] / spread
+    return factors, float(theta[-1] - factors @ middle)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
@@ -255,7 +293,10 @@ def _words(docs: DataFrame) -> DataFrame:
 
 
 def word_contrast(train: DataFrame) -> DataFrame:
-    """Per word of two toxic documents or more: documents of each class holding it, z of its log odds ratio.
+    """Per word of two toxic documents or more: documents of each class holding it (t, c), and their G2.
+
+    G2 is the log likelihood ratio of one share of documents in both classes
+    against a share in each (Dunning 1993).
 
     Only words that at least two toxic documents hold can be positive, so only
     they are counted in clean documents: the clean documents' words meet that
@@ -272,10 +313,10 @@ def word_contrast(train: DataFrame) -> DataFrame:
         F.sum((F.col("label") == 1).cast("long")).alias("nt"), F.sum((F.col("label") != 1).cast("long")).alias("nc")
     ).first()
     nt, nc = F.lit(totals["nt"] or 0), F.lit(totals["nc"] or 0)
-    alpha = F.lit(0.5)
-    odds = F.log((F.col("t") + alpha) / (nt - F.col("t") + alpha)) - F.log((F.col("c") + alpha) / (nc - F.col("c") + alpha))
-    spread = F.sqrt(1 / (F.col("t") + alpha) + 1 / (nt - F.col("t") + alpha) + 1 / (F.col("c") + alpha) + 1 / (nc - F.col("c") + alpha))
-    return counts.withColumn("z", odds / spread).withColumn("nt", nt).withColumn("nc", nc)
+    t, c = F.col("t"), F.col("c")
+    cells = ((t, nt, t + c), (c, nc, t + c), (nt - t, nt, nt + nc - t - c), (nc - c, nc, nt + nc - t - c))
+    parts = [F.when(n > 0, n * F.log(n * (nt + nc) / (of * both))).otherwise(0.0) for n, of, both in cells]
+    return counts.withColumn("g2", 2 * sum(parts[1:], parts[0])).withColumn("nt", nt).withColumn("nc", nc)
 
 
 def sampled(train: DataFrame) -> DataFrame:
@@ -286,31 +327,33 @@ def sampled(train: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Model:
     """Trains on documents outside the held-out fold; only text and label are inputs."""
     model, sample = fit_words(docs, labels, column)
-    calibrate(model, raw_scores(sample, model).select("raw", "label"))
+    calibrate(model, raw_scores(sample, model).select("raw", "share", "label"))
     return model
 
 
 def calibrate(model: Model, raws: DataFrame) -> None:
-    """Platt's sigmoid from (raw, label) rows of a bounded sample; unchanged without both labels."""
+    """Platt's sigmoid from (raw, share, label) rows of a bounded sample; unchanged without both labels."""
     found = raws.toPandas()
     if found["label"].nunique() == 2:
-        model.a, model.c = platt(found["raw"].to_numpy(float), found["label"].to_numpy())
+        (a, s), model.c = platt(found[["raw", "share"]].to_numpy(float), found["label"].to_numpy())
+        model.a, model.s = float(a), float(s)
 
 
 def fit_words(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> tuple[Model, DataFrame]:
     """The SVM over words, without its sigmoid, and the stored labelled sample it saw."""
     train = labelled(docs, labels, column)
     contrast = word_contrast(train)
-    # Positives: significant (z) and at least RATIO times as common among toxic documents, one clean document added.
+    # Positives: significant (G2) and at least RATIO times as common among toxic documents, one clean document added.
     ratio = F.col("t") * F.col("nc") >= F.lit(RATIO) * (F.col("c") + 1) * F.col("nt")
-    positive = contrast.where((F.col("z") >= Z) & ratio).orderBy(F.desc("z"), "word").limit(POSITIVES)
+    positive = contrast.where((F.col("g2") >= G2) & ratio).orderBy(F.desc("g2"), "word").limit(POSITIVES)
     pos_words = [r.word for r in positive.select("word").collect()]
     # Negatives, from the sample: its most frequent words, and a hashed
     # sample of the words that no toxic document of the sample holds.
     sample = store(sampled(train))
     words = _words(sample).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"), F.max((F.col("label") == 1).cast("int")).alias("toxic")
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == 1).cast("long")).alias("toxic")
     ).where(~F.col("word").isin(pos_words) if pos_words else F.lit(True))
+    words = store(words)
     common = words.orderBy(F.desc("n"), "word").limit(NEGATIVES // 3)
     clean = words.where(F.col("toxic") == 0).orderBy(F.xxhash64("word"), "word").limit(NEGATIVES - NEGATIVES // 3)
     neg_words = sorted({r.word for r in common.union(clean).select("word").collect()})
@@ -318,24 +361,42 @@ def fit_words(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> tupl
     marks = pos_words[:half] + neg_words[: LANDMARKS - min(half, len(pos_words))]
     landmarks = Landmarks.of(marks or ["empty"])
     model = Model(landmarks, nystrom(landmarks), np.zeros(0), 0.0)
-    examples = pos_words + neg_words
     if pos_words and neg_words:
-        x = model.features(examples)
-        y = np.r_[np.ones(len(pos_words)), np.zeros(len(neg_words))]
-        model.w, model.b = train_svm(x, y)
+        model.refit(pos_words, neg_words)
+        pool = store(clean_pool(words, sample))
+        for _ in range(ROUNDS):
+            neg_words = sorted({*neg_words, *hard_negatives(pool, model, neg_words)})
+            model.refit(pos_words, neg_words)
     else:
         model.w = np.zeros(model.whitening.shape[1])
     return model, sample
 
 
+def clean_pool(words: DataFrame, sample: DataFrame) -> DataFrame:
+    """The POOL words most clean documents hold, of those no more common among toxic ones."""
+    totals = sample.agg(
+        F.sum((F.col("label") == 1).cast("long")).alias("t"), F.sum((F.col("label") != 1).cast("long")).alias("c")
+    ).first()
+    in_clean = F.col("n") - F.col("toxic")
+    kept = words.where(F.col("toxic") * F.lit(totals["c"]) <= in_clean * F.lit(totals["t"]))
+    return kept.orderBy(F.desc(in_clean), "word").limit(POOL).select("word", F.col("word").alias("text"))
+
+
+def hard_negatives(pool: DataFrame, model: Model, known: list[str]) -> list[str]:
+    """The HARD words of the pool with the highest decisions, those known left out."""
+    found = raw_scores(pool, model).orderBy(F.desc("raw"), "word").limit(HARD + len(known))
+    return [w for w in (r.word for r in found.select("word").collect()) if w not in set(known)][:HARD]
+
+
 def raw_scores(docs: DataFrame, model: Model) -> DataFrame:
     keys = [c for c in docs.columns if c != "text"]
-    return map_texts(docs, keys, [T.StructField("raw", T.DoubleType())], _raw_maker(model))
+    fields = [T.StructField("raw", T.DoubleType()), T.StructField("share", T.DoubleType())]
+    return map_texts(docs, keys, fields, _raw_maker(model))
 
 
 def _raw_maker(model: Model) -> Callable[[], Callable[[list[str | None]], list]]:
     def make():
-        return lambda texts: [model.raw(texts)]
+        return lambda texts: list(model.raw(texts))
 
     make.__module__ = __name__
     return make
@@ -352,8 +413,8 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = 0.5, raw: DataFra
     """
     if raw is None:
         raw = raw_scores(docs.select("doc_id", "text"), model)
-    a, c = model.a, model.c
-    score = 1 / (1 + F.exp(-(F.lit(a) * F.col("raw") + F.lit(c))))
+    a, s, c = model.a, model.s, model.c
+    score = 1 / (1 + F.exp(-(F.lit(a) * F.col("raw") + F.lit(s) * F.col("share") + F.lit(c))))
     return raw.select(
         "doc_id",
         (crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
@@ -372,10 +433,10 @@ def scores(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFra
     model, sample = fit_words(docs, labels, column)
     raw = store(raw_scores(docs.select("doc_id", "text"), model))
     picked = sample.select("doc_id", "label").dropDuplicates(["doc_id"])
-    # One raw score per sampled id (its highest, as labels are per id), so repeated ids keep the sample's bound.
+    # One text's scores per sampled id (its highest, as labels are per id), so repeated ids keep the sample's bound.
     per_id = raw.join(broadcast_if_small(picked), "doc_id").groupBy("doc_id").agg(
-        F.max("raw").alias("raw"), F.max("label").alias("label")
+        F.max(F.struct("raw", "share")).alias("top"), F.max("label").alias("label")
     )
-    calibrate(model, per_id.select("raw", "label"))
+    calibrate(model, per_id.select("top.*", "label"))
     return toxicity(docs, model, raw=raw)
 

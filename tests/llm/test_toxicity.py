@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cohortair.llm import toxicity
 
@@ -73,3 +74,37 @@ def test_folded_decisions_equal_the_nystrom_features():
     model = toxicity.Model(lm, whitening, w, 0.25)
     words = ["idiot", "idioot", "i.d.i.o.t", "id", "", "tables", "ééé"]
     assert np.allclose(model.decisions(words), model.features(words) @ w + 0.25, atol=1e-12)
+
+
+def test_insult_stems_outrank_look_alikes_of_clean_texts(spark):
+    """Insults are stems with many endings; clean texts are full of words that share parts of them."""
+    rng = np.random.default_rng(5)
+    parts = ["ba", "ren", "lo", "wei", "sti", "ke", "mu", "vor", "tal", "nis"]
+    rows, labels = [], []
+    for i in range(600):
+        words = ["".join(rng.choice(parts, rng.integers(2, 5))) for _ in range(rng.integers(20, 200))]
+        toxic = i % 8 == 0
+        words = [w for w in words if not w.startswith("lowei")]
+        if toxic:
+            for _ in range(6):
+                words[rng.integers(len(words))] = "lowei" + "".join(rng.choice(parts, 1))
+        rows.append((i, " ".join(words), "en", "s"))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = [r for r in toxicity.scores(docs, marks).collect() if r.held_out]
+    toxic = np.array([r.score for r in held if r.doc_id % 8 == 0])
+    clean = np.array([r.score for r in held if r.doc_id % 8])
+    assert len(toxic) >= 8
+    assert (toxic[:, None] > clean[None]).mean() + (toxic[:, None] == clean[None]).mean() / 2 >= 0.95
+    assert (toxic >= 0.5).mean() >= 0.7 and (clean >= 0.5).mean() <= 0.05
+
+
+def test_contrast_ranks_an_insult_before_chance_words(spark):
+    """An insult no clean document holds comes before a word of both classes, whatever its odds ratio's error."""
+    rows = [(i, ("idiot " if 8 <= i < 40 else "") + ("reeux " if i < 8 or 100 <= i < 103 else "") + "plain") for i in range(1000)]
+    train = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", (F.col("doc_id") < 100).cast("int"))
+    found = {r.word: r.g2 for r in toxicity.word_contrast(train).collect()}
+    assert found["idiot"] > found["reeux"] > found["plain"]
+    plain = 2 * (32 * np.log(1000 * 32 / (32 * 100)) + 68 * np.log(68 * 1000 / (968 * 100)) + 900 * np.log(900 * 1000 / (968 * 900)))
+    assert abs(found["idiot"] - plain) < 1e-9
