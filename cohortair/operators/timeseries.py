@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -80,14 +81,63 @@ def trailing(
 
     Days are counted as day numbers, so neither the session's time zone nor a
     clock change shifts a window. Each frame adds its own values up, at most n
-    per row: differences of running sums would be cheaper, but lose small
-    values beside large ones and anything after an infinity. All frames share
-    one shuffle by site and one sort.
+    per row and oldest first: differences of running sums would be cheaper, but
+    lose small values beside large ones and anything after an infinity. Spark
+    deals and sorts the rows by site; within a site all days of a frame's
+    offset are added at once, so a row costs n additions of an array and not
+    n calls. Rows without a day look at each other, as in a range frame.
     """
-    by_site = Window.partitionBy(site).orderBy("_day_no")
-    added = []
-    for n in days:
-        past = by_site.rangeBetween(-n, -1)
-        added.append(F.avg(value).over(past).alias(f"prev_{n}_day_avg"))
-        added.append(F.count(value).over(past).alias(f"prev_{n}_days_w_obs"))
-    return df.withColumn("_day_no", F.unix_date(F.col(day))).select(*df.columns, *added)
+    added = [
+        field
+        for n in days
+        for field in (
+            T.StructField(f"prev_{n}_day_avg", T.DoubleType()),
+            T.StructField(f"prev_{n}_days_w_obs", T.LongType()),
+        )
+    ]
+    names, frames = df.columns, tuple(days)
+
+    def look_back(rows):
+        import numpy as np
+        import pyarrow as pa
+
+        number, held = rows.column("_day_no").combine_chunks(), rows.column("_value").combine_chunks()
+        dated = number.is_valid().to_numpy(zero_copy_only=False)
+        valued = held.is_valid().to_numpy(zero_copy_only=False)
+        number = number.fill_null(0).to_numpy().astype(np.int64)
+        held = held.fill_null(0.0).to_numpy()
+        first = number[dated].min() if dated.any() else 0
+        at = np.where(dated, number - first, 0)
+        span = int(at.max()) + 1
+        counted = dated & valued
+        sums = np.zeros(span)
+        out = rows.select(names)
+        with np.errstate(all="ignore"):
+            np.add.at(sums, at[counted], held[counted])
+            until = np.r_[0, np.cumsum(np.bincount(at[counted], minlength=span))]
+            undated = held[~dated & valued]
+            for n in frames:
+                past, total = np.r_[np.zeros(n), sums], np.zeros(span)
+                for k in range(n):
+                    total += past[k : k + span]
+                here = np.arange(span)
+                number_of = until[here] - until[np.maximum(here - n, 0)]
+                seen = np.where(dated, number_of[at], len(undated))
+                mean = np.where(dated, total[at], undated.sum()) / np.maximum(seen, 1)
+                out = out.append_column(f"prev_{n}_day_avg", pa.array(mean, pa.float64(), mask=seen == 0))
+                out = out.append_column(f"prev_{n}_days_w_obs", pa.array(seen, pa.int64()))
+        return out
+
+    numbered = df.withColumns({"_day_no": F.unix_date(F.col(day)), "_value": F.col(value).cast("double")})
+    return numbered.groupBy(site).applyInArrow(look_back, T.StructType([*df.schema.fields, *added]))
+
+
+def spans(df: DataFrame, site: str = "aqs_site_id", day: str = "date") -> DataFrame:
+    """First and last day of each site, as `_first` and `_last`."""
+    return df.where(F.col(day).isNotNull()).groupBy(site).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+
+
+def span_rows(df: DataFrame, key: str) -> int:
+    """Days between the first and the last of each key's spans, added up."""
+    of_key = df.groupBy(key).agg((F.datediff(F.max("_last"), F.min("_first")) + 1).cast("long").alias("_days"))
+    return of_key.agg(F.sum("_days")).first()[0] or 0
