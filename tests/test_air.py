@@ -286,3 +286,26 @@ def test_opened_calendars_keep_a_task_per_core(spark):
     # The trailing frames by site reuse the partitions: no shuffle that adaptive execution could merge.
     looked = timeseries.trailing(filled.withColumnRenamed("v", "measurement_avg"), site="aqs_site_id")
     assert looked.rdd.getNumPartitions() == parts
+
+
+def test_group_days_equal_days_matched_to_every_zip(spark):
+    """Repeated pairs, shared and own ZIPs, null keys and values: the same ZIP days, fewer rows joined."""
+    data = [(f"m{i}", f"2020-01-0{1 + (i * j) % 4}", float(i + j), "1 HOUR", 24) for i in range(1, 7) for j in (1, 2, 3)]
+    told = readings(spark, data).withColumn("ArithmeticMean", F.when(F.col("ArithmeticMean") != 5, F.col("ArithmeticMean")))
+    daily = air.daily_series(told, NO2, labelled=True)
+    pairs = [(f"m{i}", z) for i in range(1, 6) for z in ("a", "b")] + [("m1", "a"), ("m6", "c"), ("m6", None), (None, "a")]
+    nearby = spark.createDataFrame(pairs, "aqs_site_id string, zip_code string")
+    matched = air.zip_daily(air.zip_readings(daily, nearby, dedupe=False), NO2)
+    grouped = air.group_daily(daily, nearby, NO2)
+    names = ("zip_code", "date", "measurement_avg", "num_monitors", "_label")
+    assert rows(grouped, *names) == rows(matched, *names)
+    sites, zips = air.site_groups(nearby)
+    assert sites.select("_group").distinct().count() == 3 and zips.count() == 5
+
+
+def test_trailing_frames_of_gaps_repeats_and_missing_days(spark):
+    data = [("a", day("2020-01-01"), 1.0, "x"), ("a", day("2020-01-01"), 3.0, "y"), ("a", day("2020-01-04"), None, "z"),
+            ("a", day("2020-01-05"), 7.0, "u"), ("a", None, 9.0, "v"), ("a", None, None, "w"), (None, day("2020-01-02"), 5.0, "t")]
+    df = spark.createDataFrame(data, "zip_code string, date date, measurement_avg double, other string")
+    made = {r["other"]: (r["prev_3_day_avg"], r["prev_3_days_w_obs"]) for r in timeseries.trailing(df, days=(3,)).collect()}
+    assert made == {"x": (None, 0), "y": (None, 0), "z": (2.0, 2), "u": (None, 0), "v": (9.0, 1), "w": (9.0, 1), "t": (None, 0)}
