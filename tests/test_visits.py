@@ -186,3 +186,20 @@ def test_looking_at_stays(spark):
     assert rows(checks.stay_code_counts(table)) == [("s", 1), ("t", 1)]
     assert [r["visit_concept_id"] for r in checks.stay_detail(table, "s").collect()] == [5, 9201]
     assert [r["macrovisit_id"] for r in checks.person_stays(table, "a").collect()] == ["t", "s", "s"]
+
+
+def test_lines_of_no_stay_are_spread_over_tasks(spark, tmp_path):
+    """Lines of no stay have a null id: they must not all meet in one task of the join with the stays."""
+    from workload.standins import Study
+
+    lines = [(o, n, 5, "R", datetime.date(2020, 1, n), "F" if o == 1 else "O") for o in (1, 2, 3) for n in (1, 2)]
+    names = ("l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_shipdate date, l_linestatus string")
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(o, o * 10, "1-URGENT") for o in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    made = Study(spark, str(tmp_path)).visits()
+    assert made.columns[:2] == ["macrovisit_id", "person_id"]
+    got = sorted((r.visit_occurrence_id, r.macrovisit_id, r.macrovisit_end_date) for r in made.collect())
+    end = datetime.date(2020, 1, 2)
+    assert got == [(11, 1, end), (12, 1, end), (21, None, None), (22, None, None), (31, None, None), (32, None, None)]
+    assert "_spread" in made._jdf.queryExecution().optimizedPlan().toString()

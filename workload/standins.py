@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortair.operators.joins import attach
 from cohortair.settings import AREA_MEASURES, NO2, OZONE, PM25, SO2, CodeSetNames
 from cohortair.sources.tables import read_table
 
@@ -174,7 +175,8 @@ class Study:
             .groupBy(F.col("l_orderkey").alias("macrovisit_id"))
             .agg(F.min(shipped).alias("macrovisit_start_date"), F.max(shipped).alias("macrovisit_end_date"))
         )
-        return (
+        # Lines of no stay have a null id, half of all lines: `attach` spreads them.
+        lines = (
             self._order_lines()
             .select(
                 F.col("o_custkey").alias("person_id"),
@@ -186,8 +188,8 @@ class Study:
                 F.date_add(shipped, F.col("l_linenumber")).alias("visit_end_date"),
                 F.when(F.col("l_linestatus") == "F", F.col("l_orderkey")).alias("macrovisit_id"),
             )
-            .join(stays, "macrovisit_id", "left")
         )
+        return attach(lines, stays, "macrovisit_id")
 
     def death(self) -> DataFrame:
         return self.table("orders").where("o_orderstatus = 'F'").select(
