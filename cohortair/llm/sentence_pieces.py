@@ -18,9 +18,13 @@ from cohortair.llm.bpe import Vocabulary
 from cohortair.llm.common import keeps, map_texts
 
 SPACE = "▁"
-SEGMENT = pattern(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+SEGMENT = pattern(" *[^ ]+| +")
+# The same, parted where letters and marks meet; BORDER finds such places.
+LETTERS, MARKS = "[A-Za-zÀ-ɏ]", r"[.,;:!?\n]"
+FINER = pattern(f" *{LETTERS}++(?={MARKS})|{MARKS}++(?={LETTERS})| *[^ ]+| +")
+BORDER = pattern(f"{LETTERS}{MARKS}|{MARKS}{LETTERS}")
 # Segments of each of two generations: those of the older one stay if they are met again.
-SEGMENTS_KEPT = 300_000
+SEGMENTS_KEPT = 200_000
 LONGEST_KEPT = 48
 NOT_UTF8 = "�"
 
@@ -40,10 +44,12 @@ class Pieces:
         raw = [model.is_byte(i) for i in range(size)]
         self.ids = {t: i for i, t in enumerate(names) if not (special[i] or raw[i] or model.is_unused(i))}
         self.byte_ids = {int(names[i][3:5], 16): i for i in range(size) if raw[i]}
-        ranks = {t: -model.get_score(i) for t, i in self.ids.items() if len(t) > 1}
-        self.vocabulary = Vocabulary(ranks)
+        ranks = {t.replace(SPACE, " "): -model.get_score(i) for t, i in self.ids.items() if len(t) > 1}
+        self.vocabulary = Vocabulary(ranks, self.packed)
         # Segments can be encoded alone if no token holds a space after something else.
-        self.apart = all(SPACE not in t.lstrip(SPACE) for t in ranks)
+        self.apart = all(" " not in t.lstrip(" ") for t in ranks)
+        # No merge crosses a place that no token holds inside.
+        self.segments = (SEGMENT if any(map(BORDER.search, ranks)) else FINER).findall
         self.begin, self.end = model.bos_id(), model.eos_id()
         self.texts = [
             "" if model.is_control(i) else model.id_to_piece(i).replace(SPACE, " ") for i in range(size)
@@ -53,66 +59,23 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.real = set(self.ids.values())
         self.is_byte = np.array(raw)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Segments(self.vocabulary)
 
-    def last_tokens(self, segment: str) -> list[str]:
-        """The last token of the encoding of each prefix; there is exactly one.
-
-        Of the tokens that match at the end of a prefix, it is the one that is
-        the whole prefix or stays as it is next to the last token of the prefix
-        before it.
-        """
-        reach, pair = self.vocabulary.reach, self.vocabulary.pair
-        last, node = [""], ""
-        for i, letter in enumerate(segment, 1):
-            node, sizes = reach(node, letter)
-            for size in sizes:
-                token, before = segment[i - size : i], last[i - size]
-                if not before or pair(before, token):
-                    break
-            last.append(token)
-        return last
-
-    def tokens(self, segment: str) -> list[str]:
-        """The encoding of a segment: its last token, then that of what lies before, and so on."""
-        last, at, found = self.last_tokens(segment), len(segment), []
-        while at:
-            found.append(last[at])
-            at -= len(last[at])
-        return found[::-1]
-
-    def packed(self, segment: str) -> bytes:
-        """Ids of a segment as little-endian 32-bit integers."""
-        found = self.known.get(segment)
-        if found is not None:
-            return found
-        found = self.older.get(segment)
-        if found is None:
-            ids: list[int] = []
-            for token in self.tokens(segment):
-                known = self.ids.get(token)
-                if known is None:
-                    ids += [self.byte_ids[b] for b in token.encode("utf-8", "replace")]
-                else:
-                    ids.append(known)
-            found = pack(f"<{len(ids)}I", *ids)
-        if len(segment) <= LONGEST_KEPT:
-            if len(self.known) > SEGMENTS_KEPT:
-                self.known, self.older = {}, self.known
-            self.known[segment] = found
-        return found
+    def packed(self, token: str) -> bytes:
+        """Ids of a token as little-endian 32-bit integers: its own, or those of its bytes."""
+        known = self.ids.get(token.replace(" ", SPACE))
+        ids = [known] if known is not None else [self.byte_ids[b] for b in token.encode("utf-8", "replace")]
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, without begin and end, as little-endian 32-bit integers."""
         if not text:
             return b""
-        text = SPACE + text.replace(" ", SPACE)
-        segments = SEGMENT.findall(text) if self.apart else [text]
-        try:
-            return b"".join(map(self.known.__getitem__, segments))
-        except KeyError:
-            return b"".join(map(self.packed, segments))
+        # Both signs mean the same; with spaces most strings take a byte a letter.
+        text = " " + text.replace(SPACE, " ")
+        if not self.apart:
+            return b"".join(reversed(self.vocabulary.encoded(text)))
+        return b"".join(map(self.known.__getitem__, self.segments(text)))
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids; begin, end and the space put before a text vanish."""
@@ -138,6 +101,26 @@ class Pieces:
         return out[1:] if dummy and first in self.real else out
 
 
+class Segments(dict):
+    """Packed ids of segments met before; others are worked out when they are looked up."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, segment: str) -> bytes:
+        found = self.older.get(segment)
+        if found is None:
+            found = b"".join(reversed(self.vocabulary.encoded(segment)))
+        if len(segment) <= LONGEST_KEPT:
+            if len(self) > SEGMENTS_KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[segment] = found
+        return found
+
+
 def _text(data: bytes) -> str:
     """UTF-8 bytes as text; each byte that fits nowhere becomes a replacement character."""
     try:

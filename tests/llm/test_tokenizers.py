@@ -54,6 +54,17 @@ def test_caches_that_overflow_change_nothing(monkeypatch, library):
         assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == library.encode(text)
 
 
+def test_a_word_is_worked_out_once_whatever_mark_follows(library, pieces, monkeypatch):
+    worked = []
+    encoded = pieces.vocabulary.encoded
+    monkeypatch.setattr(pieces.vocabulary, "encoded", lambda text: worked.append(text) or encoded(text))
+    for text in ("a quizzicaly", "a quizzicaly.", "a quizzicaly, a quizzicaly!\nquizzicaly", 'a▁"quizzicaly."', "é.é 中,中\n\na-b.c _.a 1.a"):
+        packed = pieces.encode(text)
+        assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == library.encode(text)
+    assert worked.count(" quizzicaly") == 1
+    assert " quizzicaly." not in worked and "quizzicaly" in worked
+
+
 def test_digests_and_arrays_of_odd_rows(spark, library):
     table = docs(spark)
     expected = []
