@@ -20,7 +20,7 @@ from cohortair.llm.common import ascii_lower, store
 from cohortair.operators.joins import broadcast_if_small
 
 # Fixed values of the contract: piece bounds and word characters.
-PIECE = "[.,;:!?\\x0A-\\x0D]"
+PIECE = "[.,;:!?\\x0A\\x0B\\x0C\\x0D]"
 WORD = "[^\\x20\\x09]+"
 LONGEST, LEAST, TOP, SPREAD = 3, 10, 2000, 256
 EXACT = "decimal(38,0)"
@@ -80,27 +80,24 @@ def frequent_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST)
         .agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
     )
     found = [level.withColumn("words", F.lit(1))]
-    shorter = F.col("w")  # phrases of k - 1 words at each place of the piece
     for k in range(2, longest + 1):
         fits = F.greatest(F.size("w") - (k - 1), F.lit(0))
-        grams = words.select(
+        # The k words of each place, joined only for rows that a join looks up or lets through.
+        places = F.arrays_zip(*(F.slice(F.col("w"), j + 1, fits).alias(f"w{j}") for j in range(k)))
+        grams = words.where(F.size("w") >= k).select("lang", F.explode(places).alias("g"))
+        each = [F.col(f"g.w{j}") for j in range(k)]
+        grams = grams.select(
             "lang",
-            F.explode(
-                F.arrays_zip(
-                    F.slice(shorter, 1, fits).alias("head"),
-                    F.slice(shorter, 2, fits).alias("tail"),
-                    F.slice(F.col("w"), k, fits).alias("last"),
-                )
-            ).alias("g"),
-        ).select("lang", "g.head", "g.tail", F.concat_ws(" ", "g.head", "g.last").alias("phrase"))
+            F.concat_ws(" ", *each[:-1]).alias("head"),
+            F.concat_ws(" ", *each[1:]).alias("tail"),
+            F.concat_ws(" ", *each).alias("phrase"),
+        )
         parts = broadcast_if_small(level.select("lang", F.col("phrase").alias("part")))
         kept = grams.join(parts.withColumnRenamed("part", "head"), ["lang", "head"], "left_semi").join(
             parts.withColumnRenamed("part", "tail"), ["lang", "tail"], "left_semi"
         )
         level = store(kept.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least))
         found.append(level.withColumn("words", F.lit(k)))
-        nxt = F.zip_with(F.slice(shorter, 1, fits), F.slice(F.col("w"), k, fits), lambda a, b: F.concat_ws(" ", a, b))
-        shorter = nxt
     frequent = found[0]
     for more in found[1:]:
         frequent = frequent.unionByName(more)
