@@ -22,6 +22,7 @@ END = b""
 CLASSES, MEMBERS, SHARED = 16, 32, 128
 BUCKETS = CLASSES * MEMBERS
 BEGIN = BUCKETS
+CONTEXTS = BUCKETS + 1
 PAIRS, SKIPS = 8192, 8192
 # Rows of the class table: bias, last bucket, the one before it, both together.
 CLASS_ROWS = 1 + 2 * (BUCKETS + 1) + PAIRS
@@ -32,6 +33,8 @@ STEPS, RATE = 8, 0.7
 # Passes end when the loss per token falls by less; the second number only ends what would never settle.
 LEAST_FALL, MOST_PASSES = 0.002, 50
 BATCH = 16384
+# Tokens whose places a task holds before it counts them.
+PLACES_HELD = 2_000_000
 TYPES_KEPT = 300_000
 
 
@@ -103,6 +106,15 @@ class Model:
         self.log_bucket = np.log10(self.bucket_total + ALPHA * (self.bucket_types + 1))
         return self
 
+    def tabled(self) -> Model:
+        """With the log shares of classes and the logarithms of member sums in every context."""
+        self.class_logs = class_logs(self.classes)[0]
+        self.member_logs = np.empty((CLASSES, CONTEXTS * CONTEXTS), np.float32)
+        for kind in range(CLASSES):
+            _, _, a, b, most = member_parts(self.members, kind)
+            self.member_logs[kind] = (np.log(a @ b.T) + most).ravel()
+        return self
+
     def start(self) -> None:
         """Biases from the counts, so that training begins at the unigram model."""
         sizes = self.bucket_total.reshape(CLASSES, MEMBERS) + 1.0
@@ -204,25 +216,111 @@ def gradients(model: Model, batches: Iterator[list[str | None]], needed: bool) -
     return sums, often, loss, tokens
 
 
-def summed_gradients(docs: DataFrame, model: Model, needed: bool = True) -> tuple[list[tuple], float, int]:
-    """Per table touched rows, gradients and counts, then loss and tokens, over all texts.
+def class_logs(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log shares of the classes in every context (last, skip), and the contexts' rows for both together."""
+    last, skip = np.divmod(np.arange(CONTEXTS * CONTEXTS), CONTEXTS)
+    rows = class_rows(last, skip)
+    return log_softmax(sum(classes[r] for r in rows) + classes[0]), rows[2]
 
-    Tasks sum at the same weights and Spark adds up, so that how the texts are
-    split into tasks changes nothing but rounding. The tables have a fixed size.
+
+def member_parts(members: np.ndarray, kind: int) -> tuple[np.ndarray, ...]:
+    """Of a class the rows by last and by skipped bucket, and their weights as powers of e, each row's largest and the rest.
+
+    The powers of a context are products of the two, so that their sums in all
+    contexts are one matrix product.
+    """
+    every = np.arange(CONTEXTS)
+    _, near, far = member_rows(np.full(CONTEXTS, kind), every, every)
+    a, b = (members[near] + members[kind]).astype(np.float64), members[far].astype(np.float64)
+    most_a, most_b = a.max(1, keepdims=True), b.max(1, keepdims=True)
+    return near, far, np.exp(a - most_a), np.exp(b - most_b), most_a + most_b.T
+
+
+def tally(target: np.ndarray, last: np.ndarray, skip: np.ndarray) -> list[np.ndarray]:
+    """How often each class stands in each context, and each bucket after a last and after a skipped one.
+
+    Gradients and loss depend on the tokens by these counts alone.
+    """
+    last, skip = last.astype(np.int64), skip.astype(np.int64)
+    cell = (last * CONTEXTS + skip) * CLASSES + target // MEMBERS
+    pairs = CONTEXTS * BUCKETS
+    return [
+        np.bincount(cell, minlength=CONTEXTS * CONTEXTS * CLASSES),
+        np.bincount(last * BUCKETS + target, minlength=pairs),
+        np.bincount(skip * BUCKETS + target, minlength=pairs),
+    ]
+
+
+def counted_gradients(classes: np.ndarray, members: np.ndarray, counts: list[np.ndarray]) -> tuple:
+    """What `gradients` sums up, worked out from the counts of all tokens, context by context."""
+    sums = np.zeros(classes.shape), np.zeros(members.shape)
+    often = np.zeros(CLASS_ROWS, np.int64), np.zeros(MEMBER_ROWS, np.int64)
+    cells = counts[0].reshape(-1, CLASSES)
+    near_counts, far_counts = (c.reshape(CONTEXTS, CLASSES, MEMBERS) for c in counts[1:])
+    logs, pair = class_logs(classes)
+    logs, met = logs.astype(np.float64), cells.sum(1)
+    loss, tokens = -float((cells * logs).sum()), int(met.sum())
+    off = np.exp(logs) * met[:, None] - cells
+    around, square = off.reshape(CONTEXTS, CONTEXTS, CLASSES), met.reshape(CONTEXTS, CONTEXTS)
+    sums[0][0], often[0][0] = off.sum(0), tokens
+    for rows, axis in ((slice(1, 1 + CONTEXTS), 1), (slice(1 + CONTEXTS, 1 + 2 * CONTEXTS), 0)):
+        sums[0][rows], often[0][rows] = around.sum(axis), square.sum(axis)
+    sums[0][:] += np.stack([np.bincount(pair, line, CLASS_ROWS) for line in off.T], 1)
+    often[0][:] += np.bincount(pair, met, CLASS_ROWS).astype(np.int64)
+    cube = counts[0].reshape(CONTEXTS, CONTEXTS, CLASSES)
+    for kind in range(CLASSES):
+        n = cube[:, :, kind]
+        near, far, a, b, most = member_parts(members, kind)
+        whole = a @ b.T
+        after, before = near_counts[:, kind], far_counts[:, kind]
+        loss += float((n * (np.log(whole) + most)).sum())
+        loss -= float((after * (members[near] + members[kind])).sum() + (before * members[far]).sum())
+        share = n / whole
+        off_near, off_far = a * (share @ b) - after, b * (share.T @ a) - before
+        sums[1][kind], often[1][kind] = off_near.sum(0), n.sum()
+        sums[1][near], often[1][near] = off_near, n.sum(1)
+        np.add.at(sums[1], far, off_far)
+        np.add.at(often[1], far, n.sum(0))
+    return sums, often, loss, tokens
+
+
+def places(docs: DataFrame, model: Model, parts: int = 1) -> DataFrame:
+    """(part, places) of all texts, as a stored table: buckets of tokens and of the two before, packed.
+
+    Texts are read once; passes read these. Texts are dealt by hash into
+    `parts`, each in files of its own.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f"v{i}" for i in range(MEMBERS)]
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) if parts > 1 else F.lit(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.prepared()
+        for batch in batches:
+            part, every = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for a, b in slices(every, 1_000_000):
+                codes, starts, _ = own.read(every[a:b])
+                packed = np.stack(own.features(codes, starts)).astype(np.int16)
+                of = np.repeat(part[a:b], np.diff(np.append(starts, len(codes))))
+                met = np.unique(part[a:b])
+                arrays = [pa.array([packed[:, of == k].tobytes() for k in met], pa.binary()), pa.array(met.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["places", "part"])
+
+    found = docs.select(dealt.cast("int").alias("part"), "text").mapInArrow(run, "places binary, part int")
+    return store(found, "part")
 
-        def texts():
-            for batch in batches:
-                every = batch.column(0).to_pylist()
-                for a, b in slices(every, 1_000_000):
-                    yield every[a:b]
 
+def summed_places(placed: DataFrame, model: Model, needed: bool = True) -> tuple[list[tuple], float, int]:
+    """Per table touched rows, gradients and counts, then loss and tokens, over stored places.
+
+    Tasks sum at the same weights and Spark adds up, so that how the texts are
+    split into tasks changes nothing but rounding. The tables have a fixed size.
+    """
+    weights = model.classes, model.members
+    shared = placed.sparkSession.sparkContext.broadcast(weights)
+    names = [f"v{i}" for i in range(MEMBERS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(part: int, at: np.ndarray, often: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
             wide = np.zeros((len(at), MEMBERS))
             wide[:, : sums.shape[1]] = sums
@@ -230,15 +328,33 @@ def summed_gradients(docs: DataFrame, model: Model, needed: bool = True) -> tupl
             arrays += [pa.array(wide[:, i].copy()) for i in range(MEMBERS)]
             return pa.RecordBatch.from_arrays(arrays, names=["part", "row", "n", *names])
 
-        sums, often, loss, tokens = gradients(own, texts(), needed)
-        for number in (0, 1):
+        counts, held, size = None, [], 0
+
+        def counted():
+            found = tally(*np.concatenate(held, 1))
+            return found if counts is None else [x + y for x, y in zip(counts, found)]
+
+        for batch in batches:
+            for value in batch.column(0):
+                held.append(np.frombuffer(value.as_buffer(), np.int16).reshape(3, -1))
+                size += held[-1].shape[1]
+                if size > PLACES_HELD:
+                    counts, held, size = counted(), [], 0
+        if held:
+            counts = counted()
+        if counts is None:
+            return
+        sums, often, loss, tokens = counted_gradients(*shared.value, counts)
+        for number in (0, 1) if needed else ():
             at = np.flatnonzero(often[number])
             yield rows(number, at, often[number][at], sums[number][at])
         yield rows(2, np.zeros(1), np.array([tokens]), np.array([[loss]]))
 
     schema = "part int, row int, n long, " + ", ".join(f"{n} double" for n in names)
     added = (
-        docs.select("text")
+        # A task's work has a fixed part, the contexts: no more tasks than run at once.
+        placed.select("places")
+        .coalesce(placed.sparkSession.sparkContext.defaultParallelism)
         .mapInArrow(run, schema)
         .groupBy("part", "row")
         .agg(F.sum("n").alias("n"), *(F.sum(n).alias(n) for n in names))
@@ -253,23 +369,28 @@ def summed_gradients(docs: DataFrame, model: Model, needed: bool = True) -> tupl
     return found, float(ends.v0.sum()), int(ends.n.sum())
 
 
+def summed_gradients(docs: DataFrame, model: Model, needed: bool = True) -> tuple[list[tuple], float, int]:
+    """The same over all texts."""
+    return summed_places(places(docs, model), model, needed)
+
+
 def fit(docs: DataFrame, model: Model) -> list[float]:
     """Passes of global steps until the loss of the slice left out stops falling; that loss before and after each.
 
     The slice left out is the last step, so that every text is learned from.
     """
-    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(STEPS + 1))
+    placed = places(docs, model, STEPS + 1)
     tables = model.classes, model.members
     seen = [np.zeros(len(t)) for t in tables]
     often = [np.zeros(len(t)) for t in tables]
 
     def step(k: int) -> None:
-        found, _, _ = summed_gradients(docs.where(dealt == k), model)
+        found, _, _ = summed_places(placed.where(F.col("part") == k), model)
         for i, (at, total, counts) in enumerate(found):
             descend(tables[i], seen[i], often[i], at, total, counts)
 
     def left_out() -> float:
-        _, loss, tokens = summed_gradients(docs.where(dealt == STEPS), model, needed=False)
+        _, loss, tokens = summed_places(placed.where(F.col("part") == STEPS), model, needed=False)
         return loss / max(tokens, 1)
 
     losses = [left_out()]
@@ -331,12 +452,11 @@ def score_texts(model: Model, texts: list[str | None]) -> list:
     """Per text: tokens, known frequent ones, sums of logarithms, and the tokens left to look up."""
     codes, starts, tokens = model.read(texts)
     target, last, skip = model.features(codes, starts)
-    shares = np.empty(len(codes))
-    for i in range(0, len(codes), BATCH):
-        part = slice(i, i + BATCH)
-        kind, member, _, _, classes, members = forward(model, target[part], last[part], skip[part])
-        each = np.arange(len(kind))
-        shares[part] = classes[each, kind].astype(np.float64) + members[each, member]
+    kind, member = np.divmod(target, MEMBERS)
+    context = last.astype(np.int64) * CONTEXTS + skip
+    shares = model.class_logs[context, kind].astype(np.float64) - model.member_logs[kind, context]
+    for rows in member_rows(kind, last, skip):
+        shares += model.members[rows, member]
     inside = shares / math.log(10) - model.log_bucket[target]
     common = codes < model.codes.ranks
     rare, ends = [], np.append(starts[1:], len(codes))
@@ -374,7 +494,7 @@ def lm_scores(docs: DataFrame, folds: int = 10) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work():
-        own = shared.value.prepared()
+        own = shared.value.prepared().tabled()
         return lambda texts: score_texts(own, texts)
 
     fields = [

@@ -33,3 +33,23 @@ def test_passes_go_on_while_the_loss_falls(spark):
     before = language_model.train(table.limit(0), counts)
     losses = [language_model.summed_gradients(table, m, needed=False)[1] for m in (before, model)]
     assert losses[1] < 0.1 * losses[0]
+
+
+def test_texts_are_read_once_however_many_passes(spark, monkeypatch):
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    counts = language_model.count_tokens(table)
+    read = []
+    places = language_model.places
+    monkeypatch.setattr(language_model, "places", lambda docs, *more: read.append(docs) or places(docs, *more))
+    monkeypatch.setattr(language_model, "PLACES_HELD", 1000)
+    model = language_model.train(table, counts).prepared().tabled()
+    assert read == [table]
+    # Scores are the shares of the plain forward pass.
+    codes, starts, _ = model.read(["w1 w8 the of", None, "the the é"])
+    target, last, skip = model.features(codes, starts)
+    kind, member, _, _, classes, members = language_model.forward(model, target, last, skip)
+    each = np.arange(len(kind))
+    plain = classes[each, kind].astype(float) + members[each, member]
+    made = language_model.score_texts(model, ["w1 w8 the of", None, "the the é"])[3]
+    expected = np.add.reduceat(plain / np.log(10) - model.log_bucket[target], starts)
+    assert np.allclose(made, expected, atol=1e-4)
