@@ -1,20 +1,26 @@
-"""Language-model scores: unigrams, and a hashed maximum-entropy model over context features."""
+"""Language-model scores: unigrams, and a hashed maximum-entropy model over context features.
+
+Its features are of two kinds: buckets of tokens, whose tables have a fixed
+size, and tokens after tokens as they are, one for each that training texts hold.
+"""
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortair.llm.common import crc_fold, free_name, map_texts, ship, slices, store
+from cohortair.llm.common import crc_fold, keeps, only, ship, slices, store
 
 ALPHA = 0.1
 END = b""
@@ -28,6 +34,8 @@ PAIRS, SKIPS = 8192, 8192
 CLASS_ROWS = 1 + 2 * (BUCKETS + 1) + PAIRS
 # Rows of the member table, each for a class: bias, last bucket, the one before it (hashed).
 MEMBER_ROWS = CLASSES + (BUCKETS + 1) * CLASSES + SKIPS
+# Counts that gradients follow from: of classes in contexts, of buckets after a last and after a skipped one.
+CELLS = CONTEXTS * CONTEXTS * CLASSES + 2 * CONTEXTS * BUCKETS
 # Training texts are dealt by hash into slices: one tells when to stop, and each other one is a step of a pass.
 STEPS, RATE = 8, 0.7
 # Passes end when the loss per token falls by less; the second number only ends what would never settle.
@@ -36,6 +44,17 @@ BATCH = 16384
 # Tokens whose places a task holds before it counts them.
 PLACES_HELD = 2_000_000
 TYPES_KEPT = 300_000
+# Codes of frequent tokens are their ranks; those of the others begin here and hold 47 bits of their hash.
+RARE, CODE_BYTES = 1 << 47, 6
+BEFORE = -1
+# Characters of a batch of texts, and training tokens for each part that counts features.
+BATCH_CHARS, PART_TOKENS = 2_000_000, 1_000_000
+# Runs of tokens that are features of their own, by length, and how many places the shorter run's share stands for.
+PRIOR = {2: 8.0}
+# Summed counts travel in pieces of so many cells, compressed: most are 0.
+PIECE = 150_000
+MODELS: dict[str, "Model"] = {}
+keeps(__name__, MODELS.clear)
 
 
 def split(text: str | None) -> list[bytes]:
@@ -73,14 +92,13 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
 
 class Codes(dict):
-    """Code of a token: its rank if it is frequent, else the number of ranks and its bucket."""
+    """Code of a token: its rank if it is frequent, else bits of its hash, the lowest of which tell its bucket."""
 
     def __init__(self, tokens: list[bytes]):
         super().__init__(zip(tokens, range(len(tokens))))
-        self.ranks = len(tokens)
 
     def __missing__(self, token: bytes) -> int:
-        return self.ranks + hashed(token)
+        return RARE | xxhash.xxh64_intdigest(token, 42) & (RARE - 1)
 
 
 @dataclass
@@ -95,14 +113,16 @@ class Model:
     bucket_types: np.ndarray
     classes: np.ndarray = field(default_factory=lambda: np.zeros((CLASS_ROWS, CLASSES), np.float32))
     members: np.ndarray = field(default_factory=lambda: np.zeros((MEMBER_ROWS, MEMBERS), np.float32))
+    texts: int = 0
 
     def prepared(self) -> Model:
         """With what tasks look up: codes, buckets by code, logarithms."""
         self.codes = Codes(self.tokens)
         own = BUCKETS - SHARED
         ranked = [i if i < own else hashed(t) for i, t in enumerate(self.tokens)]
-        self.bucket = np.array([*ranked, *range(BUCKETS)], np.int32)
-        self.log_count = np.append(np.log10(self.counts + ALPHA), np.zeros(BUCKETS))
+        self.bucket = np.array([*ranked, 0], np.int32)
+        # The last place is for the others.
+        self.log_count = np.append(np.log10(self.counts + ALPHA), 0.0)
         self.log_bucket = np.log10(self.bucket_total + ALPHA * (self.bucket_types + 1))
         return self
 
@@ -132,13 +152,19 @@ class Model:
 
     def features(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of each token its bucket, and those of the two tokens before it."""
-        target = self.bucket[codes]
-        last, skip = np.empty_like(target), np.empty_like(target)
-        last[1:], skip[2:] = target[:-1], target[:-2]
-        last[starts] = skip[starts] = BEGIN
-        after = starts + 1
-        skip[after[after < len(target)]] = BEGIN
-        return target, last, skip
+        return features(self.bucket, codes, starts)
+
+
+def features(bucket: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each token its bucket, given those of frequent codes and one more place, and those of the two tokens before it."""
+    rare = BUCKETS - SHARED + (codes & (SHARED - 1)).astype(np.int32)
+    target = np.where(codes < RARE, bucket[np.minimum(codes, len(bucket) - 1)], rare)
+    last, skip = np.empty_like(target), np.empty_like(target)
+    last[1:], skip[2:] = target[:-1], target[:-2]
+    last[starts] = skip[starts] = BEGIN
+    after = starts + 1
+    skip[after[after < len(target)]] = BEGIN
+    return target, last, skip
 
 
 def class_rows(last: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -284,113 +310,200 @@ def counted_gradients(classes: np.ndarray, members: np.ndarray, counts: list[np.
     return sums, often, loss, tokens
 
 
-def places(docs: DataFrame, model: Model, parts: int = 1) -> DataFrame:
-    """(part, places) of all texts, as a stored table: buckets of tokens and of the two before, packed.
+def places(docs: DataFrame, model: Model, parts: int = 1, folds: int = 0) -> DataFrame:
+    """All texts in batches, as a stored table: codes of tokens, where texts begin, and their rare tokens.
 
-    Texts are read once; passes read these. Texts are dealt by hash into
-    `parts`, each in files of its own.
+    Texts are read once; passes and scores read these. Texts are dealt by hash
+    into `parts`; with `folds`, those that aren't learned from get none (-1).
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) if parts > 1 else F.lit(0)
+    if folds:
+        dealt = F.when(crc_fold(F.col("doc_id"), folds) == 0, -1).otherwise(dealt)
+    schema = T.StructType([
+        T.StructField("batch", T.LongType()),
+        T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)),
+        T.StructField("rows", T.ArrayType(T.LongType())),
+        T.StructField("parts", T.ArrayType(T.IntegerType())),
+        T.StructField("starts", T.ArrayType(T.LongType())),
+        T.StructField("codes", T.BinaryType()),
+        T.StructField("rare", T.ArrayType(T.StructType([
+            T.StructField("row", T.LongType()), T.StructField("token", T.BinaryType()), T.StructField("n", T.LongType())
+        ]))),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
         own = shared.value.prepared()
+
+        def one(column: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays([0, len(column)], column)
+
         for batch in batches:
-            part, every = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for a, b in slices(every, 1_000_000):
-                codes, starts, _ = own.read(every[a:b])
-                packed = np.stack(own.features(codes, starts)).astype(np.int16)
-                of = np.repeat(part[a:b], np.diff(np.append(starts, len(codes))))
-                met = np.unique(part[a:b])
-                arrays = [pa.array([packed[:, of == k].tobytes() for k in met], pa.binary()), pa.array(met.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["places", "part"])
+            for piece in range(0, batch.num_rows, 2000):
+                held = batch.slice(piece, 2000)
+                texts = held.column(3).to_pylist()
+                for a, b in slices(texts, BATCH_CHARS):
+                    codes, starts, tokens = own.read(texts[a:b])
+                    ids, rows, part = (held.column(i).slice(a, b - a) for i in range(3))
+                    each = rows.to_pylist()
+                    rare = [(r, t, n) for r, x in zip(each, rare_tokens(codes, starts, tokens)) for t, n in x]
+                    row, token, n = zip(*rare) if rare else ((), (), ())
+                    lists = pa.StructArray.from_arrays(
+                        [pa.array(row, pa.int64()), pa.array(token, pa.binary()), pa.array(n, pa.int64())], ["row", "token", "n"]
+                    )
+                    # The first bytes of all codes, then the second ones, and so on: most of the last are 0.
+                    planes = codes.view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES].T
+                    arrays = [pa.array(each[:1], pa.int64()), one(ids), one(rows), one(part), one(pa.array(starts))]
+                    arrays += [pa.array([packed(planes)], pa.binary()), one(lists)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    row = F.monotonically_increasing_id().alias("row")
+    return store(docs.select("doc_id", row, dealt.cast("int").alias("part"), "text").mapInArrow(run, schema))
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers compressed, after the length of their bytes."""
+    raw = np.ascontiguousarray(values).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def loaded(value: pa.BinaryScalar, kind: type) -> np.ndarray:
+    """The numbers that `packed` compressed."""
+    raw = value.as_buffer()
+    size = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(pa.decompress(raw[8:], size, codec="zstd"), kind)
+
+
+def rare_tokens(codes: np.ndarray, starts: np.ndarray, tokens: list[list[bytes]]) -> list[list[tuple[bytes, int]]]:
+    """Of each text its tokens that aren't among the frequent ones, with their numbers."""
+    common, ends = codes < RARE, np.append(starts[1:], len(codes))
+    return [
+        list(Counter(each[i] for i in np.flatnonzero(~common[a:b])).items())
+        for a, b, each in zip(starts.tolist(), ends.tolist(), tokens)
+    ]
+
 
-    found = docs.select(dealt.cast("int").alias("part"), "text").mapInArrow(run, "places binary, part int")
-    return store(found, "part")
+def unpacked(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
+    """Of a stored batch the codes, where texts begin, and each text's part."""
+    value, starts, parts = (batch.column(batch.schema.get_field_index(n))[i] for n in ("codes", "starts", "parts"))
+    planes = loaded(value, np.uint8).reshape(CODE_BYTES, -1)
+    codes = np.zeros((planes.shape[1], 8), np.uint8)
+    codes[:, :CODE_BYTES] = planes.T
+    return codes.view(np.int64).ravel(), starts.values.to_numpy(), parts.values.to_numpy()
 
 
-def summed_places(placed: DataFrame, model: Model, needed: bool = True) -> tuple[list[tuple], float, int]:
-    """Per table touched rows, gradients and counts, then loss and tokens, over stored places.
+def summed_places(placed: DataFrame, model: Model) -> DataFrame:
+    """(part, piece, counts): `tally` of all stored places of each part, as a stored table of a fixed size.
 
-    Tasks sum at the same weights and Spark adds up, so that how the texts are
-    split into tasks changes nothing but rounding. The tables have a fixed size.
+    Tasks count and Spark adds up, so that how the texts are split into tasks changes nothing.
     """
-    weights = model.classes, model.members
-    shared = placed.sparkSession.sparkContext.broadcast(weights)
-    names = [f"v{i}" for i in range(MEMBERS)]
+    bucket = replace(model).prepared().bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(part: int, at: np.ndarray, often: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-            wide = np.zeros((len(at), MEMBERS))
-            wide[:, : sums.shape[1]] = sums
-            arrays = [pa.array(np.full(len(at), part, np.int32)), pa.array(at.astype(np.int32)), pa.array(often)]
-            arrays += [pa.array(wide[:, i].copy()) for i in range(MEMBERS)]
-            return pa.RecordBatch.from_arrays(arrays, names=["part", "row", "n", *names])
-
-        counts, held, size = None, [], 0
-
-        def counted():
-            found = tally(*np.concatenate(held, 1))
-            return found if counts is None else [x + y for x, y in zip(counts, found)]
+        only(__name__)
+        sums: dict[int, np.ndarray] = {}
+        held: dict[int, list[np.ndarray]] = {}
+        size = counted = 0
+
+        def count() -> None:
+            for part, found in held.items():
+                at = 0
+                if part not in sums:
+                    sums[part] = np.zeros(CELLS, np.uint32)
+                for counts in tally(*np.concatenate(found, 1)):
+                    np.add(sums[part][at : at + len(counts)], counts, out=sums[part][at : at + len(counts)], casting="unsafe")
+                    at += len(counts)
+            held.clear()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for part, cells in sums.items():
+                for piece in range(0, len(cells), PIECE):
+                    value = cells[piece : piece + PIECE]
+                    if value.any():
+                        arrays = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([4], pa.int32())]
+                        arrays.append(pa.array([packed(value)], pa.binary()))
+                        yield pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "width", "counts"])
+            sums.clear()
 
         for batch in batches:
-            for value in batch.column(0):
-                held.append(np.frombuffer(value.as_buffer(), np.int16).reshape(3, -1))
-                size += held[-1].shape[1]
+            for i in range(batch.num_rows):
+                codes, starts, parts = unpacked(batch, i)
+                three = np.stack(features(bucket, codes, starts)).astype(np.int16)
+                of = np.repeat(parts, np.diff(np.append(starts, len(codes))))
+                for part in np.unique(parts[parts >= 0]).tolist():
+                    held.setdefault(part, []).append(three[:, of == part])
+                size += len(codes)
                 if size > PLACES_HELD:
-                    counts, held, size = counted(), [], 0
-        if held:
-            counts = counted()
-        if counts is None:
-            return
-        sums, often, loss, tokens = counted_gradients(*shared.value, counts)
-        for number in (0, 1) if needed else ():
-            at = np.flatnonzero(often[number])
-            yield rows(number, at, often[number][at], sums[number][at])
-        yield rows(2, np.zeros(1), np.array([tokens]), np.array([[loss]]))
-
-    schema = "part int, row int, n long, " + ", ".join(f"{n} double" for n in names)
-    added = (
-        # A task's work has a fixed part, the contexts: no more tasks than run at once.
-        placed.select("places")
-        .coalesce(placed.sparkSession.sparkContext.defaultParallelism)
-        .mapInArrow(run, schema)
-        .groupBy("part", "row")
-        .agg(F.sum("n").alias("n"), *(F.sum(n).alias(n) for n in names))
-        .toPandas()
-    )
-    shared.unpersist()
-    found = []
-    for number, width in ((0, CLASSES), (1, MEMBERS)):
-        own = added[added.part == number]
-        found.append((own.row.to_numpy(), own[names[:width]].to_numpy(np.float64), own.n.to_numpy(np.int64)))
-    ends = added[added.part == 2]
-    return found, float(ends.v0.sum()), int(ends.n.sum())
+                    count()
+                    size, counted = 0, counted + size
+                if counted > 1 << 31:
+                    # Before 32 bits could pass.
+                    yield from out()
+                    counted = 0
+        count()
+        yield from out()
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(loaded(x, np.uint32).astype(np.int64) for x in table["counts"])
+        width = 4 if total.max() < 1 << 32 else 8
+        value = packed(total.astype(np.uint32 if width == 4 else np.int64))
+        own = table.slice(0, 1).set_column(2, "width", pa.array([width], pa.int32()))
+        return own.set_column(3, "counts", pa.array([value], pa.binary()))
+
+    schema = "part int, piece int, width int, counts binary"
+    few = placed.select("starts", "parts", "codes").coalesce(placed.sparkSession.sparkContext.defaultParallelism)
+    # A task's counts have a fixed size: no more tasks than run at once.
+    return store(few.mapInArrow(run, schema).groupBy("part", "piece").applyInArrow(add, schema))
+
+
+def assembled(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+    """Of each part the summed counts in one."""
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, piece, width, value in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            cells = found.setdefault(part, np.zeros(CELLS, np.uint32))
+            if width == 8 and cells.itemsize == 4:
+                found[part] = cells = cells.astype(np.int64)
+            own = loaded(value, np.uint32 if width == 4 else np.int64)
+            cells[piece : piece + len(own)] = own
+    return found
+
+
+def part_gradients(classes: np.ndarray, members: np.ndarray, cells: np.ndarray | None, needed: bool = True) -> tuple[list[tuple], float, int]:
+    """Per table touched rows, gradients and counts, then loss and tokens, of a part's counts."""
+    if cells is None:
+        return [], 0.0, 0
+    cube, pairs = CONTEXTS * CONTEXTS * CLASSES, CONTEXTS * BUCKETS
+    counts = np.split(cells.astype(np.int64), [cube, cube + pairs])
+    sums, often, loss, tokens = counted_gradients(classes, members, counts)
+    at = [np.flatnonzero(o) for o in often]
+    return [(a, s[a], o[a]) for a, s, o in zip(at, sums, often)] if needed else [], loss, tokens
 
 
 def summed_gradients(docs: DataFrame, model: Model, needed: bool = True) -> tuple[list[tuple], float, int]:
     """The same over all texts."""
-    return summed_places(places(docs, model), model, needed)
+    found = summed_places(places(docs, model), model).toArrow()
+    return part_gradients(model.classes, model.members, assembled(found.to_batches()).get(0), needed)
 
 
-def fit(docs: DataFrame, model: Model) -> list[float]:
+def steps(model: Model, counts: dict[int, np.ndarray]) -> list[float]:
     """Passes of global steps until the loss of the slice left out stops falling; that loss before and after each.
 
     The slice left out is the last step, so that every text is learned from.
     """
-    placed = places(docs, model, STEPS + 1)
     tables = model.classes, model.members
     seen = [np.zeros(len(t)) for t in tables]
     often = [np.zeros(len(t)) for t in tables]
 
     def step(k: int) -> None:
-        found, _, _ = summed_places(placed.where(F.col("part") == k), model)
-        for i, (at, total, counts) in enumerate(found):
-            descend(tables[i], seen[i], often[i], at, total, counts)
+        found, _, _ = part_gradients(*tables, counts.get(k))
+        for i, (at, total, touched) in enumerate(found):
+            descend(tables[i], seen[i], often[i], at, total, touched)
 
     def left_out() -> float:
-        _, loss, tokens = summed_places(placed.where(F.col("part") == STEPS), model, needed=False)
+        _, loss, tokens = part_gradients(*tables, counts.get(STEPS), needed=False)
         return loss / max(tokens, 1)
 
     losses = [left_out()]
@@ -404,6 +517,32 @@ def fit(docs: DataFrame, model: Model) -> list[float]:
     return losses
 
 
+def fit(placed: DataFrame, model: Model) -> list[float]:
+    """Trains the weights of buckets on stored places; the losses of the slice left out.
+
+    Gradients depend on the texts by summed counts alone, whose number is fixed,
+    and so do steps: one task does them all, whatever the size of the input.
+    """
+    # What a task needs, without the tokens.
+    shared = placed.sparkSession.sparkContext.broadcast(replace(model, tokens=[], counts=model.counts[:0]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
+        own = replace(shared.value, classes=shared.value.classes.copy(), members=shared.value.members.copy())
+        losses = steps(own, assembled(batches))
+        arrays = [pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (own.classes, own.members)]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array([losses])], names=["classes", "members", "losses"])
+
+    counts = summed_places(placed, model)
+    made = counts.coalesce(1).mapInArrow(run, "classes binary, members binary, losses array<double>").collect()
+    if not made:
+        return []
+    for name in ("classes", "members"):
+        table = getattr(model, name)
+        setattr(model, name, np.frombuffer(made[0][name], np.float32).reshape(table.shape).copy())
+    return made[0]["losses"]
+
+
 def frequent(counts: DataFrame, most: int) -> int:
     """A count that at most `most` tokens reach, from a histogram by logarithm."""
     bins = counts.groupBy(F.floor(F.log2("count") * 8).alias("bin")).count().orderBy(F.desc("bin")).collect()
@@ -416,12 +555,11 @@ def frequent(counts: DataFrame, most: int) -> int:
     return math.ceil(2 ** (least / 8) - 1e-9) if least is not None else 1 << 62
 
 
-def train(docs: DataFrame, counts: DataFrame, most_frequent: int = 150_000) -> Model:
-    """The model of training texts, given their stored token counts.
+def vocabulary(counts: DataFrame, most_frequent: int = 150_000) -> Model:
+    """The model before training, given the stored token counts of training texts.
 
     Up to `most_frequent` tokens, those above one count, go to every task with
-    their counts; the rest is looked up by a join. The weights are trained on
-    every text, by steps on gradients that Spark sums over all of a slice.
+    their counts; the rest is looked up by a join.
     """
     least = frequent(counts, most_frequent)
     top = counts.where(F.col("count") >= least).toPandas()
@@ -429,52 +567,181 @@ def train(docs: DataFrame, counts: DataFrame, most_frequent: int = 150_000) -> M
     tokens = [bytes(t) for t in top.token]
     own = tokens[: BUCKETS - SHARED]
     # The tokens with a bucket of their own; their number is fixed.
-    spark = docs.sparkSession
+    spark = counts.sparkSession
     named = spark.createDataFrame(list(zip(map(bytearray, own), range(len(own)))), "token binary, own int")
     shared = F.pmod(F.xxhash64(F.col("token")), F.lit(SHARED)) + (BUCKETS - SHARED)
     sizes = (
         counts.join(F.broadcast(named), "token", "left")
         .groupBy(F.coalesce("own", shared).cast("int").alias("bucket"))
-        .agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("types"))
+        .agg(
+            F.sum("count").alias("total"),
+            F.count(F.lit(1)).alias("types"),
+            F.sum(F.when(F.octet_length("token") == 0, F.col("count"))).alias("texts"),
+        )
         .collect()
     )
     bucket_total, bucket_types = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in sizes:
         bucket_total[row["bucket"]], bucket_types[row["bucket"]] = row["total"], row["types"]
     total, types = int(bucket_total.sum()), int(bucket_types.sum())
-    model = Model(tokens, top["count"].to_numpy(np.int64), total, types, bucket_total, bucket_types)
+    # A text has one end, the empty token.
+    texts = sum(row["texts"] or 0 for row in sizes)
+    model = Model(tokens, top["count"].to_numpy(np.int64), total, types, bucket_total, bucket_types, texts=texts)
     model.start()
-    fit(docs, model)
     return model
 
 
-def score_texts(model: Model, texts: list[str | None]) -> list:
-    """Per text: tokens, known frequent ones, sums of logarithms, and the tokens left to look up."""
-    codes, starts, tokens = model.read(texts)
+def train(docs: DataFrame, counts: DataFrame, most_frequent: int = 150_000) -> Model:
+    """The model of training texts, given their stored token counts.
+
+    The weights are trained on every text, by steps on gradients that follow
+    from counts that Spark sums over all of a slice.
+    """
+    model = vocabulary(counts, most_frequent)
+    fit(places(docs, model, STEPS + 1), model)
+    return model
+
+
+def shares(model: Model, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token its bucket, and the natural logarithm of the bucket's share in its context."""
     target, last, skip = model.features(codes, starts)
     kind, member = np.divmod(target, MEMBERS)
     context = last.astype(np.int64) * CONTEXTS + skip
-    shares = model.class_logs[context, kind].astype(np.float64) - model.member_logs[kind, context]
+    found = model.class_logs[context, kind].astype(np.float64) - model.member_logs[kind, context]
     for rows in member_rows(kind, last, skip):
-        shares += model.members[rows, member]
-    inside = shares / math.log(10) - model.log_bucket[target]
-    common = codes < model.codes.ranks
-    rare, ends = [], np.append(starts[1:], len(codes))
-    for a, b, each in zip(starts.tolist(), ends.tolist(), tokens):
-        at = np.flatnonzero(~common[a:b])
-        rare.append(list(Counter(each[i] for i in at).items()))
+        found += model.members[rows, member]
+    return target, found
+
+
+def score_texts(model: Model, texts: list[str | None]) -> list:
+    """Per text by buckets: tokens, known frequent ones, sums of logarithms, and the tokens left to look up."""
+    codes, starts, tokens = model.read(texts)
+    target, inside = shares(model, codes, starts)
+    return [
+        *common_sums(model, codes, starts),
+        np.add.reduceat(inside / math.log(10) - model.log_bucket[target], starts),
+        rare_tokens(codes, starts, tokens),
+    ]
+
+
+def common_sums(model: Model, codes: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Per text its tokens, the frequent ones among them, and the sum of the logarithms of their counts."""
     return [
-        ends - starts,
-        np.add.reduceat(common.astype(np.int64), starts),
-        np.add.reduceat(model.log_count[codes], starts),
-        np.add.reduceat(inside, starts),
-        pa.array(
-            [[{"token": t, "n": n} for t, n in r] for r in rare],
-            pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])),
-        ),
+        np.diff(np.append(starts, len(codes))),
+        np.add.reduceat((codes < RARE).astype(np.int64), starts),
+        np.add.reduceat(model.log_count[np.minimum(codes, len(model.tokens))], starts),
     ]
 
 
+def mixed(value: np.ndarray) -> np.ndarray:
+    """64 well mixed bits of each 64-bit number, equal ones alike (splitmix64)."""
+    value = value + np.uint64(0x9E3779B97F4A7C15)
+    value = (value ^ value >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    value = (value ^ value >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return value ^ value >> np.uint64(31)
+
+
+def feature_keys(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of each rare token a key, and of each run of tokens that is a feature, by its last place, one."""
+    key = mixed(codes.astype(np.uint64))
+    rare, found, before = key[codes >= RARE], [], codes
+    for length in PRIOR:
+        # The token one place further back; before a text stands its own sign.
+        before = np.concatenate([[BEFORE], before[:-1]]).astype(np.int64)
+        before[starts] = BEFORE
+        key = mixed(key ^ mixed(before.astype(np.uint64) + np.uint64(length)) * np.uint64(length))
+        found.append(key)
+    return rare, found
+
+
+def parted(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part begins among sorted keys, and their end; a part is a range of the keys' upper half."""
+    of = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    return np.searchsorted(of, np.arange(parts + 1))
+
+
+def feature_counts(placed: DataFrame, parts: int) -> DataFrame:
+    """(batch, found): how often training texts hold the features of a batch, in the order of their keys.
+
+    Features are dealt by key into `parts`, whose number follows the training
+    tokens, so each holds about as many, and are told apart by the key's lower
+    half there. Each batch sends a feature once, with its number in training
+    texts, so that frequent ones crowd no part.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(__name__)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, starts, part = unpacked(batch, i)
+                keys, where = wanted(codes, starts)
+                learned = np.repeat(part >= 0, np.diff(np.append(starts, len(codes))))
+                learned = np.concatenate([learned[codes >= RARE], *[learned] * len(PRIOR)])
+                n = np.bincount(where, learned, len(keys)).astype(np.uint32)
+                low, ends = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), parted(keys, parts)
+                met = np.flatnonzero(np.diff(ends))
+                arrays = [
+                    pa.array(met.astype(np.int32)),
+                    pa.array([batch.column(0)[i].as_py()] * len(met), pa.int64()),
+                    pa.array([low[ends[k] : ends[k + 1]].tobytes() for k in met], pa.binary()),
+                    pa.array([packed(n[ends[k] : ends[k + 1]]) for k in met], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["part", "batch", "low", "n"])
+
+    def count(table: pa.Table) -> pa.Table:
+        low, n = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["low"]], [loaded(x, np.uint32) for x in table["n"]]
+        sizes = np.cumsum([len(x) for x in low])[:-1]
+        keys, where = np.unique(np.concatenate(low), return_inverse=True)
+        totals = np.bincount(where, np.concatenate(n), len(keys)).astype(np.uint32)
+        found = pa.array([packed(x) for x in np.split(totals[where], sizes)], pa.binary())
+        return pa.table({"part": table["part"], "batch": table["batch"], "found": found})
+
+    sent = placed.select("batch", "starts", "parts", "codes").mapInArrow(run, "part int, batch long, low binary, n binary")
+    counted = sent.groupBy("part").applyInArrow(count, "part int, batch long, found binary")
+    parts_found = F.array_sort(F.collect_list(F.struct("part", "found")))
+    return counted.groupBy("batch").agg(F.transform(parts_found, lambda x: x["found"]).alias("found"))
+
+
+def wanted(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a batch, sorted, once each, and where each rare token's and each place's stand among them."""
+    rare, runs = feature_keys(codes, starts)
+    return np.unique(np.concatenate([rare, *runs]), return_inverse=True)
+
+
+def token_logs(model: Model, codes: np.ndarray, starts: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """The log10 share of each token after those before it, given the numbers of its features in key order.
+
+    A run's share is that of its count among all places of what stands before
+    it, with the shorter run's share added as so many places. That is the
+    maximum-entropy model nearest to the shorter runs' that gives the features
+    their (smoothed) shares: features of one context exclude each other, so their
+    weights follow from the counts in one step and shares add up to 1.
+    """
+    target, inside = shares(model, codes, starts)
+    _, where = wanted(codes, starts)
+    rare = codes >= RARE
+    count = np.append(model.counts, 0)[np.minimum(codes, len(model.tokens))].astype(np.float64)
+    each = found[where].astype(np.float64)
+    count[rare], at = each[: rare.sum()], rare.sum()
+    share = np.exp(inside) * (count + ALPHA) / 10 ** model.log_bucket[target]
+    for prior in PRIOR.values():
+        context = np.concatenate([[0], count[:-1]])
+        context[starts] = model.texts
+        count = each[at : at + len(codes)]
+        at += len(codes)
+        share = (count + prior * share) / (context + prior)
+    return np.log10(share)
+
+
+def kept_model(name: str, shared: Broadcast) -> Model:
+    """The model with its tables, made once in a Python worker."""
+    only(__name__)
+    if name not in MODELS:
+        MODELS.clear()
+        MODELS[name] = shared.value.prepared().tabled()
+    return MODELS[name]
+
+
 def lm_scores(docs: DataFrame, folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
@@ -488,29 +755,34 @@ def lm_scores(docs: DataFrame, folds: int = 10) -> DataFrame:
     empty table gives none, and without training rows all tokens are unknown.
     """
     held_out = crc_fold(F.col("doc_id"), folds) == 0
-    learned = docs.select("doc_id", "text").where(~held_out)
-    counts = count_tokens(learned)
-    model = train(learned, counts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def work():
-        own = shared.value.prepared().tabled()
-        return lambda texts: score_texts(own, texts)
-
-    fields = [
-        T.StructField("n_tokens", T.LongType()),
-        T.StructField("common", T.LongType()),
-        T.StructField("log_common", T.DoubleType()),
-        T.StructField("inside", T.DoubleType()),
-        T.StructField("rare", T.ArrayType(T.StructType([T.StructField("token", T.BinaryType()), T.StructField("n", T.LongType())]))),
-    ]
-    row = free_name(docs, "row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    counts = count_tokens(docs.select("doc_id", "text").where(~held_out))
+    model = vocabulary(counts)
     # Row numbers hold once they are stored.
-    scored = store(map_texts(numbered, ("doc_id", row), fields, work, 1_000_000).withColumnRenamed(row, "row"))
+    placed = places(docs, model, STEPS + 1, folds)
+    fit(placed, model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    fields = [("n_tokens", pa.int64()), ("common", pa.int64()), ("log_common", pa.float64()), ("score", pa.float64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = kept_model(name, shared)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, starts, _ = unpacked(batch, i)
+                ids, rows, found = (batch.column(batch.schema.get_field_index(n))[i].values for n in ("ids", "rows", "found"))
+                logs = token_logs(own, codes, starts, np.concatenate([loaded(x, np.uint32) for x in found]))
+                sums = [*common_sums(own, codes, starts), np.add.reduceat(logs, starts)]
+                arrays = [ids, rows, *(pa.array(x, kind) for x, (_, kind) in zip(sums, fields))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "row", *(n for n, _ in fields)])
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("row", T.LongType())])
+    for field, kind in fields:
+        schema.add(field, T.LongType() if kind == pa.int64() else T.DoubleType())
+    features = feature_counts(placed, model.total // PART_TOKENS + 1)
+    joined = placed.select("batch", "ids", "rows", "starts", "parts", "codes").join(features.hint("shuffle_hash"), "batch")
+    scored = joined.mapInArrow(run, schema)
     looked_up = (
-        scored.select("row", F.explode("rare").alias("r"))
-        .select("row", "r.token", "r.n")
+        placed.select(F.explode("rare").alias("r"))
+        .select("r.row", "r.token", "r.n")
         .join(counts, "token", "left")
         .groupBy("row")
         .agg(
@@ -526,5 +798,5 @@ def lm_scores(docs: DataFrame, folds: int = 10) -> DataFrame:
         (F.col("common") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * math.log10(model.total + ALPHA * (model.types + 1))).alias("base_score"),
-        (logs + F.col("inside")).alias("score"),
+        "score",
     )
