@@ -402,7 +402,8 @@ def summed_places(placed: DataFrame, model: Model) -> DataFrame:
     bucket = replace(model).prepared().bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only(__name__)
+        # Of its own name, so that what the step before took goes back to the system.
+        only(f"{__name__} counts")
         sums: dict[int, np.ndarray] = {}
         held: dict[int, list[np.ndarray]] = {}
         size = counted = 0
@@ -527,7 +528,7 @@ def fit(placed: DataFrame, model: Model) -> list[float]:
     shared = placed.sparkSession.sparkContext.broadcast(replace(model, tokens=[], counts=model.counts[:0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only(__name__)
+        only(f"{__name__} steps")
         own = replace(shared.value, classes=shared.value.classes.copy(), members=shared.value.members.copy())
         losses = steps(own, assembled(batches))
         arrays = [pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (own.classes, own.members)]
@@ -670,7 +671,7 @@ def feature_counts(placed: DataFrame, parts: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only(__name__)
+        only(f"{__name__} features")
         for batch in batches:
             for i in range(batch.num_rows):
                 codes, starts, part = unpacked(batch, i)
