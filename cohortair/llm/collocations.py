@@ -4,11 +4,12 @@ Every word position of a piece starts up to three phrases (1, 2, 3 words);
 their counts per language form one stream of (lang, phrase, f), counted
 level by level so that only phrases whose parts are frequent are counted. Left, right
 and extension counts come from equality joins of that stream with itself,
-keyed on the candidate's prefix, suffix and parts: Spark plans them as sort-
-merge joins (both sides sorted on the key and read in lockstep), the external
-layout that needs no table of all phrases in memory. Only phrases seen at
-least `least` times can be a candidate or one of its parts (a part occurs at
-least as often as the whole), so the joins run on the frequent stream alone.
+keyed on the ids of the candidate's two parts one word shorter: where these
+don't measure small, Spark plans sort-merge joins (both sides sorted on the key
+and read in lockstep), the external layout that needs no table of all phrases
+in memory. Only phrases seen at least `least` times can be a candidate or one of
+its parts (a part occurs at least as often as the whole), so the joins run on
+the frequent stream alone.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortair.llm.common import ascii_lower, store
-from cohortair.operators.joins import broadcast_if_small
+from cohortair.operators.joins import broadcast_if_small, fits_broadcast
 
 # Fixed values of the contract: piece bounds and word characters.
 PIECE = "[.,;:!?\\x0A\\x0B\\x0C\\x0D]"
 WORD = "[^\\x20\\x09]+"
 LONGEST, LEAST, TOP, SPREAD = 3, 10, 2000, 256
+# Rows that name phrases are wider than those that look them up.
+NAMED_BYTES = 16 * 1024 * 1024
 EXACT = "decimal(38,0)"
 
 
@@ -61,47 +64,76 @@ def counts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
 
 
 def frequent_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, words, f) of every phrase seen at least `least` times, and (lang, n) word totals.
+    """lang, phrase, words, f and parts of every phrase seen at least `least` times, and (lang, n) word totals.
 
     Level by level: words are counted, then phrases of k words only where
     both their phrases of k - 1 words (first and last) were frequent, since a
     phrase occurs no more often than its parts. The parts are looked up by a
-    semi join before the shuffle, a broadcast where the frequent set of the
+    join before the shuffle, a broadcast where the frequent set of the
     level before measures small; so only phrases that can be frequent are
     shuffled, and each is counted over all its occurrences, exactly.
+
+    A phrase has an id among those of its length. It is counted by the ids of
+    its parts, `head` and `tail` (null for words), and named once counted.
+    `firsts` and `lasts` are the counts of its first and of its last 1, 2, ...
+    words, up to one word less than the phrase.
     """
     lang = F.coalesce(F.col("lang"), F.lit("und")).alias("lang")
-    pieces = docs.select(lang, F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), PIECE)).alias("piece"))
-    # Split once and stored: the word counts and each longer level read the words, not the texts.
-    words = store(pieces.select("lang", words_of(F.col("piece")).alias("w")).where(F.size("w") > 0))
-    totals = words.groupBy("lang").agg(F.sum(F.size("w").cast("long")).alias("n"))
-    level = store(
-        words.select("lang", F.explode("w").alias("phrase")).groupBy("lang", "phrase")
-        .agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
+    # In the outer form, as Spark makes each array twice for the other one, to filter by its size.
+    text = F.replace(ascii_lower(F.coalesce("text", F.lit(""))), F.lit("\t"), F.lit(" "))
+    pieces = docs.select(lang, F.explode_outer(F.split(text, PIECE)).alias("piece")).where(F.col("piece") != "")
+    # Split once, at a plain space, as a regex is compiled for every piece, and stored for all levels.
+    lines = store(pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("w")))
+    # All words are stored, so that the totals need no other pass.
+    words = store(
+        lines.select("lang", F.explode("w").alias("phrase")).groupBy("lang", "phrase")
+        .agg(F.count(F.lit(1)).alias("f")).withColumn("id", F.monotonically_increasing_id())
+    )
+    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    none = F.lit(None).cast("long")
+    bare = F.array().cast("array<long>")
+    level = words.where(F.col("f") >= least).select(
+        "lang", "phrase", "f", "id", none.alias("head"), none.alias("tail"), bare.alias("firsts"), bare.alias("lasts")
     )
     found = [level.withColumn("words", F.lit(1))]
     for k in range(2, longest + 1):
-        fits = F.greatest(F.size("w") - (k - 1), F.lit(0))
-        # The k words of each place, joined only for rows that a join looks up or lets through.
-        places = F.arrays_zip(*(F.slice(F.col("w"), j + 1, fits).alias(f"w{j}") for j in range(k)))
-        grams = words.where(F.size("w") >= k).select("lang", F.explode(places).alias("g"))
-        each = [F.col(f"g.w{j}") for j in range(k)]
+        each = [F.col("w0"), *(F.get("w", F.col("i") + j) for j in range(1, k))]
+        grams = lines.where(F.size("w") >= k).select("lang", "w", F.posexplode("w").alias("i", "w0"))
+        grams = grams.where(F.col("i") <= F.size("w") - k)
+        ends = {"first": each[:-1], "last": each[1:]}
         grams = grams.select(
-            "lang",
-            F.concat_ws(" ", *each[:-1]).alias("head"),
-            F.concat_ws(" ", *each[1:]).alias("tail"),
-            F.concat_ws(" ", *each).alias("phrase"),
+            "lang", *((F.concat_ws(" ", *e) if k > 2 else e[0]).alias(n) for n, e in ends.items())
+        )
+        parts = level.select("lang", "phrase", "id")
+        if fits_broadcast(parts.select("lang", "phrase")):
+            parts = F.broadcast(parts)
+        counted = (
+            grams.join(parts.toDF("lang", "first", "head"), ["lang", "first"])
+            .join(parts.toDF("lang", "last", "tail"), ["lang", "last"])
+            .groupBy("head", "tail").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least)
         )
-        parts = broadcast_if_small(level.select("lang", F.col("phrase").alias("part")))
-        kept = grams.join(parts.withColumnRenamed("part", "head"), ["lang", "head"], "left_semi").join(
-            parts.withColumnRenamed("part", "tail"), ["lang", "tail"], "left_semi"
+        heads = level.select(
+            "lang", F.col("phrase").alias("first"), F.col("id").alias("head"),
+            F.concat("firsts", F.array("f")).alias("firsts"),
+        )
+        tails = level.select(
+            F.substring_index("phrase", " ", -1).alias("last"), F.col("id").alias("tail"),
+            F.concat("lasts", F.array("f")).alias("lasts"),
+        )
+        named = counted.join(broadcast_if_small(heads, NAMED_BYTES), "head").join(
+            broadcast_if_small(tails, NAMED_BYTES), "tail"
+        )
+        level = store(
+            named.select(
+                "lang", F.concat_ws(" ", "first", "last").alias("phrase"), "f",
+                F.monotonically_increasing_id().alias("id"), "head", "tail", "firsts", "lasts",
+            )
         )
-        level = store(kept.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= least))
         found.append(level.withColumn("words", F.lit(k)))
     frequent = found[0]
     for more in found[1:]:
         frequent = frequent.unionByName(more)
-    return frequent.select("lang", "phrase", F.col("words").cast("int").alias("words"), "f"), totals
+    return frequent, totals
 
 
 def collocations(
@@ -124,38 +156,31 @@ def collocations(
     those, so no task sorts all candidates of a language.
     """
     frequent, totals = frequent_counts(docs.select("lang", "text"), least, longest)
-    candidates = frequent.where(F.col("words") >= 2)
-
-    # One row per candidate and cut: left and right parts as phrases.
-    parts = F.split("phrase", " ")
-    cuts = candidates.select(
-        "lang", "phrase", "words", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k")
-    ).select(
-        "lang", "phrase", "words", "a", "k",
-        F.array_join(F.slice(parts, F.lit(1), F.col("k")), " ").alias("left"),
-        F.array_join(F.slice(parts, F.col("k") + 1, F.col("words") - F.col("k")), " ").alias("right"),
-    )
-    lefts = frequent.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l"))
-    rights = frequent.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r"))
-    scored = cuts.join(lefts, ["lang", "left"]).join(rights, ["lang", "right"]).withColumn(
-        "score",
-        F.expr(f"cast(a as {EXACT}) * cast(a as {EXACT}) * 1000000 div (cast(l as {EXACT}) * cast(r as {EXACT}))"),
-    )
-    best = scored.groupBy("lang", "phrase", "words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("b"))
+    candidates = frequent.where(F.col("words") >= 2).withColumnRenamed("f", "a")
+
+    # Every cut's score; cuts that the phrase is too short for are null and are passed over.
+    cuts = []
+    for k in range(1, max(longest, 2)):
+        left, right = F.get("firsts", F.lit(k - 1)), F.get("lasts", F.col("words") - (k + 1))
+        score = F.expr(f"cast(a as {EXACT}) * cast(a as {EXACT}) * 1000000 div (cast(l as {EXACT}) * cast(r as {EXACT}))")
+        candidates = candidates.withColumns({"l": left, "r": right})
+        candidates = candidates.withColumn(
+            f"_cut{k}",
+            F.when(F.col("words") > k, F.struct(score.alias("score"), F.lit(k).alias("k"), F.col("l"), F.col("r"))),
+        )
+        cuts.append(f"_cut{k}")
+    best = candidates.withColumn("b", F.array_min(F.array(*cuts)))
 
     # Extensions: each longer candidate names its two sub-phrases one word shorter.
-    longer = candidates.where(F.col("words") >= 3).select(
-        "lang",
-        F.col("f").alias("outer"),
-        F.explode(
-            F.array(
-                F.array_join(F.slice(parts, F.lit(1), F.col("words") - 1), " "),
-                F.array_join(F.slice(parts, F.lit(2), F.col("words") - 1), " "),
-            )
-        ).alias("phrase"),
+    inside = F.array(
+        F.struct(F.col("head").alias("id"), F.element_at("firsts", -1).alias("inner")),
+        F.struct(F.col("tail").alias("id"), F.element_at("lasts", -1).alias("inner")),
+    )
+    covered = (
+        candidates.where(F.col("words") >= 3).select((F.col("words") - 1).alias("words"), "a", F.inline(inside))
+        .where(F.lit(100) * F.col("a") >= F.lit(50) * F.col("inner"))
     )
-    covered = best.join(longer, ["lang", "phrase"]).where(F.lit(100) * F.col("outer") >= F.lit(50) * F.col("a"))
-    kept = best.join(covered.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+    kept = best.join(covered.select("words", "id"), ["words", "id"], "left_anti")
 
     ranked = kept.select(
         "lang", "phrase", "a", "b.l", "b.r", "b.k", F.col("b.score").cast("long").alias("score")

@@ -62,3 +62,29 @@ def test_score_is_exact_beyond_64_bits():
     con = duckdb.connect()
     got = con.sql(f"SELECT (CAST({a} AS HUGEINT) * {a} * 1000000) // (CAST({l} AS HUGEINT) * {r})").fetchall()[0][0]
     assert got == (a * a * 1_000_000) // (l * r)
+
+
+def test_texts_are_split_once_and_parts_counted_by_id(spark, monkeypatch):
+    docs = spark.createDataFrame(ROWS + [(8, " \t. x\ty  z\v\t", "en", "d")] * 2, SCHEMA)
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df)
+
+    store = collocations.store
+    monkeypatch.setattr(collocations, "store", noted)
+    frequent, totals = collocations.frequent_counts(docs, least=2)
+    # A filter by the size of the array would split every text and piece a second time.
+    assert plans[0].count("split(") == 2 and not any("split(" in plan for plan in plans[1:])
+    counted = {(r.lang, r.phrase): r.f for r in collocations.counts(docs).collect()}
+    found = frequent.collect()
+    assert {(r.lang, r.phrase): r.f for r in found} == {k: f for k, f in counted.items() if f >= 2}
+    for r in found:
+        words = r.phrase.split(" ")
+        assert len(words) == r.words
+        assert r.firsts == [counted[r.lang, " ".join(words[:k])] for k in range(1, r.words)]
+        assert r.lasts == [counted[r.lang, " ".join(words[-k:])] for k in range(1, r.words)]
+    assert {r.lang: r.n for r in totals.collect()} == {
+        lang: sum(f for (at, p), f in counted.items() if at == lang and " " not in p) for lang in {k[0] for k in counted}
+    }
